@@ -31,12 +31,14 @@ def dense_position(
     order: Sequence[str],
     block: Column,
     name: str = "pos",
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row within ``keys`` by ``order``.
 
     ``block`` must not decrease along ``order`` and must depend on the row alone, so that both
     passes agree. One shuffle of the rows on ``(keys, block)``; the join with the offsets reuses
-    that partitioning.
+    that partitioning. ``starts`` (``keys``, ``start``) counts on from earlier rows; it meets the
+    offsets, not the rows, so a hot key stays spread.
     """
     slot = [*keys, "_block"]
     blocked = df.withColumn("_block", block)
@@ -50,6 +52,10 @@ def dense_position(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*slot, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
+    if starts is not None:
+        offsets = offsets.join(starts.select(*keys, "start"), [*keys], "left").select(
+            *slot, (F.col("_offset") + F.coalesce("start", F.lit(0))).alias("_offset")
+        )
     ranked = blocked.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*slot).orderBy(*order))
     )
@@ -65,6 +71,7 @@ def line_ordinal(
     keys: Sequence[str] = ("source",),
     order: str = "seq",
     span: int = BLOCK_SPAN,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Position of each line within its source, in file order.
 
@@ -72,5 +79,5 @@ def line_ordinal(
     sliced by the integer ``order`` column, which must be unique per source.
     """
     if "block" in lines.columns:
-        return dense_position(lines, keys, ["block", order], F.col("block"))
-    return dense_position(lines, keys, [order], int_block(F.col(order), span))
+        return dense_position(lines, keys, ["block", order], F.col("block"), starts=starts)
+    return dense_position(lines, keys, [order], int_block(F.col(order), span), starts=starts)

@@ -32,6 +32,8 @@ def sliding_windows(
 ) -> DataFrame:
     """Full windows as ``(keys, win, members)``; ``members`` is in position order.
 
+    Positions of a key form one gap-free run, which may start anywhere.
+
     Lines are not copied once per window. They are collected into chunks of many windows that
     overlap by ``size - stride`` lines, so the shuffle carries a few percent more than the lines
     themselves, and the windows are cut out of each chunk inside the row. Chunks are keyed by
@@ -60,15 +62,23 @@ def sliding_windows(
         .agg(F.array_sort(F.collect_list("member")).alias("members"))
         .where(F.size("members") >= size)
     )
-    full = F.least(F.lit(per_chunk), F.floor((F.size("members") - size) / stride) + 1).cast("int")
-    return chunks.select(
+    start = F.get("members", F.lit(0))["pos"]
+    end = start + F.size("members")
+    first = F.greatest(F.col("chunk") * per_chunk, -_floor_div(-start, stride))
+    last = F.least((F.col("chunk") + 1) * per_chunk - 1, _floor_div(end - size, stride))
+    runs = chunks.select(
+        *keys, "members", start.alias("start"), first.alias("first"), last.alias("last")
+    ).where("first <= last")
+    return runs.select(
         *keys,
         F.explode(
             F.transform(
-                F.sequence(F.lit(0), full - 1),
-                lambda i: F.struct(
-                    (F.col("chunk") * per_chunk + i).alias("win"),
-                    F.slice(F.col("members"), i * stride + 1, size).alias("members"),
+                F.sequence("first", "last"),
+                lambda win: F.struct(
+                    win.alias("win"),
+                    F.slice(
+                        F.col("members"), (win * stride - F.col("start") + 1).cast("int"), size
+                    ).alias("members"),
                 ),
             )
         ).alias("w"),

@@ -15,7 +15,7 @@ from emberlog.functions import repair as R
 from emberlog.operators import evaluation as E
 from emberlog.operators import experiments as X
 from emberlog.operators import incidents as inc
-from emberlog.operators import labelling, splits
+from emberlog.operators import labelling, model, splits
 from emberlog.operators import lines as lin
 from emberlog.operators import repair as rep
 from emberlog.operators.windows import expected_windows, sliding_windows
@@ -23,6 +23,7 @@ from emberlog.plans import flows
 from emberlog.plans import oracles as Q
 from emberlog.session import pin, stage_path
 from emberlog.sources import files, rendered
+from emberlog.streaming import lines as stream_ops
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -992,3 +993,98 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return X.only_best(tuning_runs(spark, sf)).select("config_name", "epochs", "val_loss")
+
+
+# --- text-to-label model -----------------------------------------------------
+def _parts(spark, sf):
+    rows = pin(split_rows(spark, sf), "splits")
+    return rows, rows.where("split = 'train'"), rows.where("split = 'val'")
+
+
+@query("train_triage_model")
+def _(spark, sf):
+    _, train, val = _parts(spark, sf)
+    trained = model.train_triage_model(train, val)
+    return train.agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        F.lit(trained.train_loss).alias("train_loss"),
+        F.lit(trained.val_loss).alias("val_loss"),
+    )
+
+
+@query("predict_triage")
+def _(spark, sf):
+    """Predictions on the test split, through repair, override and scoring."""
+    rows, train, val = _parts(spark, sf)
+    test = rows.where("split = 'test'").select(
+        F.col("incident_id").alias("example_id"), "prompt", "incident_text", "response"
+    )
+    answers = model.predict_triage(model.train_triage_model(train, val), test)
+    return E.field_accuracy(flows.outputs_to_scores(answers.withColumn("run", F.lit("model"))))
+
+
+@query("tune_triage_model")
+def _(spark, sf):
+    _, train, val = _parts(spark, sf)
+    return X.leaderboard(model.tune_triage_model(train, val)).drop("runtime_minutes")
+
+
+# --- streams -----------------------------------------------------------------
+def event_stream(spark, sf):
+    """The events table as a stream of log lines with their event time."""
+    schema = rendered.table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return rendered.lines_of_events(events, "ts")
+
+
+def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream into files until nothing is left, and read them back."""
+    path = stage_path(spark, name)
+    stream_ops.run_available(stream_ops.to_files(stream, path), path + "-checkpoint")
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def _window_files(spark, sf) -> str:
+    path = stage_path(spark, "windows")
+    cleaned = stream_ops.stream_clean(event_stream(spark, sf))
+    writer = stream_ops.stream_windows(cleaned, path, path + "-state")
+    stream_ops.run_available(writer, path + "-checkpoint")
+    return path
+
+
+@query("stream_clean", "SELECT source, seq, level, component, normalized FROM kept", "kept")
+def _(spark, sf):
+    cleaned = stream_ops.stream_clean(event_stream(spark, sf)).drop("ts")
+    return _drain(spark, cleaned, "clean")
+
+
+@query(
+    "stream_windows",
+    """SELECT source, win, string_agg(normalized, '|' ORDER BY pos) AS body
+       FROM wl GROUP BY source, win""",
+    "wl",
+)
+def _(spark, sf):
+    found = stream_ops.read_windows(spark, _window_files(spark, sf))
+    return found.select("source", "win", F.array_join("members.normalized", "|").alias("body"))
+
+
+@query("stream_dedup", "SELECT DISTINCT incident_id, service FROM windows", "windows")
+def _(spark, sf):
+    # windows carry no event time of their own: stamp them by window number
+    found = stream_ops.windows_stream(spark, _window_files(spark, sf))
+    stamped = stream_ops.stream_incidents(found).withColumn(
+        "ts", F.timestamp_seconds(F.col("win"))
+    )
+    return _drain(spark, stream_ops.stream_dedup(stamped), "dedup").select("incident_id", "service")
+
+
+@query(
+    "stream_triage",
+    "SELECT source, win, severity, likely_cause, recommended_action FROM all_labelled",
+    "all_labelled",
+)
+def _(spark, sf):
+    found = stream_ops.windows_stream(spark, _window_files(spark, sf))
+    answers = stream_ops.stream_triage(stream_ops.stream_incidents(found))
+    return _drain(spark, answers.select("source", "win", *vocab.FIELDS), "triage")

@@ -50,9 +50,10 @@ def render_line(event_id: Column, user_id: Column, event_type: Column, value: Co
     )
 
 
-def lines_of_events(events: DataFrame) -> DataFrame:
-    """``(source, seq, line)``; works on a table and on a stream."""
+def lines_of_events(events: DataFrame, *carried: str) -> DataFrame:
+    """``(source, seq, line)`` and ``carried`` columns; works on a table and on a stream."""
     return events.select(
+        *carried,
         (F.col("user_id") % 8).cast("string").alias("source"),
         F.col("event_id").alias("seq"),
         render_line(*[F.col(c) for c in ("event_id", "user_id", "event_type", "value")]).alias(
