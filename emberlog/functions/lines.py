@@ -51,10 +51,19 @@ def parse_message(line: Column) -> Column:
     return strip(F.regexp_replace(line, rf"(?sU)\A.*?{LEVEL}{SPACE}*:*{SPACE}*", ""))
 
 
-def is_informative(level: Column, message: Column) -> Column:
-    return level.isin(vocab.ALWAYS_KEPT_LEVELS) | contains_any(
-        F.lower(message), vocab.INFORMATIVE_KEYWORDS
+def is_informative(line: Column) -> Column:
+    """A level that is always kept, or a keyword in the message.
+
+    The cheap substring tests on the whole line come first, so a line without any of the words
+    costs no pattern match.
+    """
+    kept_level = contains_any(line, vocab.ALWAYS_KEPT_LEVELS) & parse_level(line).isin(
+        vocab.ALWAYS_KEPT_LEVELS
+    )
+    keyword = contains_any(F.lower(line), vocab.INFORMATIVE_KEYWORDS) & contains_any(
+        F.lower(parse_message(line)), vocab.INFORMATIVE_KEYWORDS
     )
+    return kept_level | keyword
 
 
 def infer_service(component: Column) -> Column:
@@ -87,7 +96,8 @@ def mask_ip(text: Column) -> Column:
 
 
 def mask_size(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\bsize{SPACE}+\d+\b", "size <SIZE>")
+    """The word boundary is tested behind the literal, which lets the matcher skip ahead to it."""
+    return F.regexp_replace(text, rf"(?U)size(?<!\wsize){SPACE}+\d+\b", "size <SIZE>")
 
 
 def collapse_whitespace(text: Column) -> Column:

@@ -10,8 +10,8 @@ from emberlog.functions import repair as R
 from emberlog.operators.labelling import parse_response
 from emberlog.operators.repair import (
     apply_override,
-    parse_and_repair,
     parse_candidates,
+    recover,
     strictly_valid,
 )
 
@@ -215,17 +215,15 @@ def stage_valid_rate(outputs: DataFrame, by: str = "run") -> DataFrame:
     """``(run, stage, n, pct)``: complete answers straight from the text, after normalising, after
     repair, and after override and defaults."""
     raw = F.coalesce(F.col("raw_output"), F.lit(""))
-    at_raw = parse_candidates(outputs.select(by, "incident_text", "raw_output"), raw)
-    at_raw = at_raw.withColumn("s_raw", strictly_valid())
-    keep = [by, "incident_text", "raw_output", "s_raw"]
-    at_norm = parse_candidates(at_raw.select(*keep), R.normalize_output(raw))
-    at_norm = at_norm.withColumn("s_normalized", strictly_valid())
-    keep.append("s_normalized")
     filled = _filled("severity") & _filled("likely_cause") & _filled("recommended_action")
-    marked = parse_and_repair(at_norm.select(*keep), "mark").withColumn("s_repaired", filled)
-    final = apply_override(
-        parse_and_repair(marked.select(*keep, "s_repaired"), "default")
-    ).withColumn("s_final", filled)
+    rows = outputs.select(by, "incident_text", "raw_output")
+    at_raw = parse_candidates(rows, raw).select(*rows.columns, strictly_valid().alias("s_raw"))
+    parsed = parse_candidates(at_raw, R.normalize_output(raw)).withColumn(
+        "s_normalized", strictly_valid()
+    )
+    # repair and defaults both start from this one parse
+    marked = recover(parsed, "mark").select(*parsed.columns, filled.alias("s_repaired"))
+    final = apply_override(recover(marked, "default")).withColumn("s_final", filled)
     stages = ["raw", "normalized", "repaired", "final"]
     sums = final.groupBy(by).agg(
         F.count(F.lit(1)).alias("_total"), *[F.count_if(f"s_{s}").alias(s) for s in stages]

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import incidents as I
-from emberlog.operators.lines import informative_lines
+from emberlog.functions.lines import is_informative
+from emberlog.operators.lines import stripped
 from emberlog.operators.windows import expected_windows
 
 ORDER = ("source", "win")
@@ -62,10 +63,16 @@ def ingest_funnel(
     cap: int | None = None,
 ) -> DataFrame:
     """``(metric, value)``: lines in, lines kept, windows expected and built, ids, duplicates."""
-    counted = lines.groupBy("source").agg(F.count(F.lit(1)).alias("total"))
-    kept = informative_lines(lines).groupBy("source").agg(F.count(F.lit(1)).alias("kept"))
-    read = counted.agg(F.sum("total").alias("total_lines"))
-    kept = kept.agg(
+    per_source = (
+        stripped(lines)
+        .groupBy("source")
+        .agg(
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(is_informative(F.col("line"))).alias("kept"),
+        )
+    )
+    read = per_source.agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total_lines"),
         F.coalesce(F.sum("kept"), F.lit(0)).alias("informative_lines"),
         F.coalesce(F.sum(expected_windows(F.col("kept"), size, stride, cap)), F.lit(0)).alias(
             "expected_windows"
@@ -81,5 +88,5 @@ def ingest_funnel(
         )
         .withColumn("duplicates_removed", F.col("windows") - F.col("unique_ids"))
     )
-    parts = [part.unpivot([], part.columns, "metric", "value") for part in (read, kept, built)]
-    return parts[0].union(parts[1]).union(parts[2])
+    parts = [part.unpivot([], part.columns, "metric", "value") for part in (read, built)]
+    return parts[0].union(parts[1])

@@ -8,28 +8,42 @@ from pyspark.sql import functions as F
 from emberlog.functions import lines as L
 
 
+def stripped(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", L.strip(F.col("line")))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add ``level``, ``component`` and ``message`` to the stripped ``line``."""
-    return lines.withColumn("line", L.strip(F.col("line"))).withColumns(
+    line = F.col("line")
+    return stripped(lines).withColumns(
         {
-            "level": L.parse_level(F.col("line")),
-            "component": L.parse_component(F.col("line")),
-            "message": L.parse_message(F.col("line")),
+            "level": L.parse_level(line),
+            "component": L.parse_component(line),
+            "message": L.parse_message(line),
         }
     )
 
 
-def informative_lines(lines: DataFrame) -> DataFrame:
-    """Parsed lines worth keeping, with their normalised text.
+def keep_informative(lines: DataFrame) -> DataFrame:
+    """Only lines worth keeping, unparsed. Blank lines match no keyword and fall out here."""
+    return stripped(lines).where(L.is_informative(F.col("line")))
 
-    Normalising comes after the filter, so only kept lines pay for the masks. Blank lines never
-    match a keyword and fall out here.
-    """
-    return (
-        parse_lines(lines)
-        .where(L.is_informative(F.col("level"), F.col("message")))
-        .withColumn("normalized", L.normalize_text(F.col("line")))
-    )
+
+def normalize_lines(kept: DataFrame) -> DataFrame:
+    """Replace ``line`` by ``level``, ``component`` and ``normalized``."""
+    line = F.col("line")
+    return kept.withColumns(
+        {
+            "level": L.parse_level(line),
+            "component": L.parse_component(line),
+            "normalized": L.normalize_text(line),
+        }
+    ).drop("line")
+
+
+def informative_lines(lines: DataFrame) -> DataFrame:
+    """Parsed lines worth keeping, with their normalised text; only kept lines pay for the masks."""
+    return normalize_lines(keep_informative(lines))
 
 
 def dry_run_sample(lines: DataFrame, n: int = 5) -> DataFrame:

@@ -8,6 +8,8 @@ with a bounded number of rows, and each block's offset comes from a small table
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,31 +34,42 @@ def dense_position(
     block: Column,
     name: str = "pos",
     starts: DataFrame | None = None,
+    read_once: bool = False,
 ) -> DataFrame:
     """Add the 0-based rank of each row within ``keys`` by ``order``.
 
     ``block`` must not decrease along ``order`` and must depend on the row alone, so that both
-    passes agree. One shuffle of the rows on ``(keys, block)``; the join with the offsets reuses
-    that partitioning. ``starts`` (``keys``, ``start``) counts on from earlier rows; it meets the
+    sides agree; rows without a key or block have no position. The rows are shuffled once, on
+    ``(keys, block)``, which serves the ranks and the join with the offsets. ``starts`` (``keys``, ``start``) counts on from earlier rows; it meets the
     offsets, not the rows, so a hot key stays spread.
+
+    Counting the blocks normally scans the keys a second time, cheap on a stored table. With
+    ``read_once`` the counts come from the shuffled rows instead, for inputs behind a costly filter.
     """
     slot = [*keys, "_block"]
-    blocked = df.withColumn("_block", block)
+    placed = df.withColumn("_block", block).where(
+        reduce(and_, [F.col(c).isNotNull() for c in slot])
+    )
     before = (
         Window.partitionBy(*keys)
         .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
-        blocked.groupBy(*slot)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*slot, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    n = F.count(F.lit(1)).alias("_n")
+    if read_once:
+        # the checksum makes the counting side need the same columns, so that both sides share one
+        # exchange and the input is filtered once
+        placed = placed.repartition(*slot)
+        counted = placed.groupBy(*slot).agg(n, F.bit_xor(F.xxhash64(*df.columns)).alias("_sum"))
+        offsets = counted.where(F.col("_sum").isNotNull()).select(*slot, offset)
+    else:
+        offsets = placed.groupBy(*slot).agg(n).select(*slot, offset)
     if starts is not None:
         offsets = offsets.join(starts.select(*keys, "start"), [*keys], "left").select(
             *slot, (F.col("_offset") + F.coalesce("start", F.lit(0))).alias("_offset")
         )
-    ranked = blocked.withColumn(
+    ranked = placed.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*slot).orderBy(*order))
     )
     return (
@@ -78,6 +91,12 @@ def line_ordinal(
     A table read from text files carries a ``block`` column (the file block); other tables are
     sliced by the integer ``order`` column, which must be unique per source.
     """
-    if "block" in lines.columns:
-        return dense_position(lines, keys, ["block", order], F.col("block"), starts=starts)
-    return dense_position(lines, keys, [order], int_block(F.col(order), span), starts=starts)
+    blocks = "block" in lines.columns
+    return dense_position(
+        lines,
+        keys,
+        ["block", order] if blocks else [order],
+        F.col("block") if blocks else int_block(F.col(order), span),
+        starts=starts,
+        read_once=True,
+    )

@@ -71,47 +71,37 @@ def fill_missing(df: DataFrame, policy: str = "mark") -> DataFrame:
     return df.withColumns({k: R.or_fill(F.col(k), fill) for k, fill in fills})
 
 
-def parse_and_repair(
-    df: DataFrame,
+def recover(
+    parsed: DataFrame,
     policy: str = "mark",
     as_written: bool = False,
     labels: list[str] = vocab.EXTRACTED_SEVERITIES,
 ) -> DataFrame:
-    """Add the three fields, ``n_keys``, ``was_repaired`` and ``is_json`` (the brace slice parses).
-
-    Narrow: one stage, no shuffle. A null output counts as empty text.
-    """
+    """From parsed candidates to the three fields, ``n_keys``, ``was_repaired`` and ``is_json``
+    (the brace slice parses)."""
     clean = F.col("_clean")
-    parsed = parse_candidates(
-        df, R.normalize_output(F.col("raw_output"), as_written)
-    ).withColumn("_ok", has_all_keys() if policy == "blank" else strictly_valid())
-
-    if policy == "mark":
-        found_action = R.extract_action(clean, as_written)
-    else:
-        found_action = F.lit("")
     found = parsed.withColumns(
         {
+            "_ok": has_all_keys() if policy == "blank" else strictly_valid(),
             "_f_severity": R.extract_severity(clean, labels),
             "_f_likely_cause": R.extract_cause(clean),
-            "_f_recommended_action": found_action,
+            "_f_recommended_action": R.extract_action(clean, as_written)
+            if policy == "mark"
+            else F.lit(""),
         }
     )
     action = F.col("_f_recommended_action")
     if policy != "blank":
         cause = F.col("_f_likely_cause")
-        action = F.when(
-            (action == "") & (cause != ""), R.default_action(cause)
-        ).otherwise(action)
+        action = F.when((action == "") & (cause != ""), R.default_action(cause)).otherwise(action)
     recovered = {
         "severity": F.col("_f_severity"),
         "likely_cause": F.col("_f_likely_cause"),
         "recommended_action": action,
     }
     fills = dict(zip(vocab.FIELDS, vocab.FILL_VALUES[policy]))
-    kept = [c for c in df.columns if c not in vocab.FIELDS]
     return found.select(
-        *kept,
+        *[c for c in parsed.columns if c not in vocab.FIELDS],
         *[
             F.when(F.col("_ok"), F.col(_entry(k))["value"].cast("string"))
             .otherwise(R.or_fill(recovered[k], fills[k]))
@@ -124,6 +114,22 @@ def parse_and_repair(
     )
 
 
+def parse_and_repair(
+    df: DataFrame,
+    policy: str = "mark",
+    as_written: bool = False,
+    labels: list[str] = vocab.EXTRACTED_SEVERITIES,
+) -> DataFrame:
+    """Parse ``raw_output`` and fill in what does not parse.
+
+    Narrow: one stage, no shuffle. A null output counts as empty text.
+    """
+    text = R.normalize_output(F.col("raw_output"), as_written)
+    out = recover(parse_candidates(df, text), policy, as_written, labels)
+    kept = [c for c in df.columns if c not in vocab.FIELDS]
+    return out.select(*kept, *vocab.FIELDS, "n_keys", "was_repaired", "is_json")
+
+
 def apply_override(df: DataFrame) -> DataFrame:
     """Force the block-serving labels on incidents that show the phrase.
 

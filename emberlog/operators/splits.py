@@ -176,8 +176,8 @@ def length_audit(
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.max("n_tokens").alias("max_tokens"),
-            F.percentile("n_tokens", 0.5).alias("p50"),
-            F.percentile("n_tokens", 0.95).alias("p95"),
+            F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n_tokens)").alias("p50"),
+            F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY n_tokens)").alias("p95"),
             F.count_if(F.col("n_tokens") > F.col("budget")).alias("over_budget"),
         )
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators import evaluation, labelling, repair, splits
 from emberlog.operators.incidents import build_incidents
-from emberlog.operators.lines import informative_lines
+from emberlog.operators.lines import informative_lines, keep_informative, normalize_lines
 from emberlog.operators.ordinal import line_ordinal
 from emberlog.operators.windows import sliding_windows
 from emberlog.session import pin
@@ -15,10 +15,14 @@ from emberlog.sources.files import read_log_lines
 
 
 def positioned_lines(lines: DataFrame) -> DataFrame:
-    """Informative lines with their dense position per source."""
-    kept = informative_lines(lines)
-    columns = [c for c in ("source", "block", "seq") if c in kept.columns]
-    return line_ordinal(kept.select(*columns, "level", "component", "normalized"))
+    """Informative lines with their dense position per source.
+
+    Lines are ranked before they are normalised: the counting pass then only filters, and the masks
+    run behind the shuffle, spread over its partitions even when the input came in few pieces.
+    """
+    kept = keep_informative(lines)
+    columns = [c for c in ("source", "block", "seq", "line") if c in kept.columns]
+    return normalize_lines(line_ordinal(kept.select(*columns)))
 
 
 def lines_to_windows(
@@ -47,7 +51,7 @@ def files_to_incidents(
     """
     counts = Observation("lines")
     lines = read_log_lines(spark, path).observe(
-        counts, F.count(F.lit(1)).alias("total_lines"), F.count_if("line = ''").alias("blank_lines")
+        counts, F.count(F.lit(1)).alias("total_lines"), F.count_if(F.col("line") == "").alias("blank_lines")
     )
     kept = pin(
         informative_lines(lines).select(

@@ -383,7 +383,7 @@ def _(spark, sf):
 def _(spark, sf):
     n = F.count(F.lit(1))
     return (
-        lin.informative_lines(log_lines(spark, sf))
+        lin.keep_informative(log_lines(spark, sf))
         .groupBy("source")
         .agg(
             expected_windows(n).alias("windows"),
@@ -540,8 +540,8 @@ def _tokens(x: str) -> str:
 
 @query(
     "length_audit",
-    f"""SELECT split, field, count(*) AS n, max(k) AS max_tokens, quantile_cont(k, 0.5) AS p50,
-          quantile_cont(k, 0.95) AS p95, count(*) FILTER (k > budget) AS over_budget
+    f"""SELECT split, field, count(*) AS n, max(k) AS max_tokens, CAST(quantile_disc(k, 0.5) AS DOUBLE) AS p50,
+          CAST(quantile_disc(k, 0.95) AS DOUBLE) AS p95, count(*) FILTER (k > budget) AS over_budget
         FROM (SELECT split, 'prompt' AS field, 40 AS budget,
                 len({_tokens('prompt')}) AS k FROM splits
               UNION ALL SELECT split, 'response', 256,

@@ -17,6 +17,8 @@ def build_session(app: str = "emberlog", master: str | None = None, **conf: obje
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # text work is heavy per byte: do not merge shuffle partitions down to a few tasks
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         # window chunks are collected per (source, chunk): many small groups per task
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
     )

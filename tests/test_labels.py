@@ -1,0 +1,150 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from emberlog import vocab
+from emberlog.functions import labels as B
+from emberlog.operators import labelling
+
+X = F.col("x")
+
+SEVERITY = [
+    # text, levels, severity
+    ("service: hdfs\ninfo fine", {"INFO": 8}, "SEV-3"),
+    ("service: hdfs\nwarn fine", {"WARN": 1}, "SEV-3"),
+    ("service: hdfs\nwarn fine", {"WARN": 2}, "SEV-2"),
+    ("service: hdfs\nwarn fine", {"WARN": 3}, "SEV-2"),
+    ("service: hdfs\nwarn fine", {"WARN": 4}, "SEV-1"),
+    ("service: hdfs\nfine", {"ERROR": 1}, "SEV-1"),
+    ("service: hdfs\nfine", {"FATAL": 1}, "SEV-1"),
+    ("service: hdfs\nan Exception", {"INFO": 8}, "SEV-1"),
+    ("service: hdfs\nfailed", {}, "SEV-1"),
+    ("service: hdfs\nfail", {}, "SEV-3"),
+    ("service: error-store\nfine", {}, "SEV-1"),
+    ("service: hdfs\nFATALITY", {}, "SEV-1"),
+]
+
+CAUSES = {
+    "got exception while serving blk, timeout": vocab.BLOCK_SERVING,
+    "Connection REFUSED and slow": vocab.NETWORK,
+    "host unreachable": vocab.NETWORK,
+    "disconnected": vocab.NETWORK,
+    "flag raised": vocab.DEGRADATION,
+    "backlog": vocab.DEGRADATION,
+    "throttling": vocab.DEGRADATION,
+    "PacketResponder 1 terminating": vocab.PACKET_RESPONDER,
+    "packetresponder 1": vocab.DEFAULT_CAUSE,
+    "terminating": vocab.DEFAULT_CAUSE,
+    "": vocab.DEFAULT_CAUSE,
+}
+
+
+def test_severity(values):
+    column = B.severity(X, F.col("levels"))
+    rows = [(t, lv) for t, lv, _ in SEVERITY]
+    got = values(rows, column, schema="x string, levels map<string,bigint>")
+    assert got == [s for _, _, s in SEVERITY]
+
+
+def test_cause_first_match_wins(values):
+    assert values(list(CAUSES), B.likely_cause(X)) == list(CAUSES.values())
+
+
+def test_action_has_a_default(values, spark):
+    causes = [*vocab.ACTIONS, "something else", ""]
+    want = [vocab.ACTIONS.get(c, vocab.DEFAULT_ACTION) for c in causes]
+    assert values(causes, B.recommended_action(X)) == want
+    df = spark.createDataFrame([(c,) for c in causes], "likely_cause string")
+    got = {
+        r.likely_cause: r.recommended_action
+        for r in labelling.assign_recommended_action(df).collect()
+    }
+    assert got == dict(zip(causes, want))
+    own = spark.createDataFrame([("", "x")], "likely_cause string, recommended_action string")
+    got = labelling.assign_recommended_action(df, own).where("likely_cause = ''").first()
+    assert got.recommended_action == "x"
+
+
+def incident_rows(spark, texts):
+    rows = [("id%d" % i, "hdfs", [t], t, ({"INFO": 1}, {})) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, vocab.INCIDENT_SCHEMA)
+
+
+def test_pairs(spark):
+    pair = labelling.label_incidents(incident_rows(spark, ["a PacketResponder terminating"])).first()
+    assert pair.prompt.startswith("You are an incident triage assistant.\nFill in the JSON")
+    assert "\n\nIncident:\na PacketResponder terminating\n\nSTRICT REQUIREMENTS:\n- " in pair.prompt
+    assert pair.prompt.endswith("\nOutput ONLY the completed JSON:\n")
+    want = {
+        "severity": "SEV-3",
+        "likely_cause": vocab.PACKET_RESPONDER,
+        "recommended_action": vocab.ACTIONS[vocab.PACKET_RESPONDER],
+    }
+    assert pair.response == json.dumps(want)
+
+
+def test_response_text_is_escaped(values):
+    column = B.response_json(X, X, X)
+    for text in ['say "x"', "back\\slash", "tab\there"]:
+        got = values([text], column)[0]
+        assert json.loads(got) == dict.fromkeys(vocab.FIELDS, text)
+
+
+def test_validation_counts_every_row(spark):
+    good = labelling.label_incidents(incident_rows(spark, ["x", "y"])).select("prompt", "response")
+    assert labelling.validate_pairs(good).first().asDict() == {
+        "pairs": 2, "bad_json": 0, "missing_keys": 0, "bad_severity": 0, "missing_template": 0,
+    }
+    bad = spark.createDataFrame(
+        [
+            ('"severity": ""', "no json"),
+            ('"severity": ""', '{"severity": "SEV-1"}'),
+            ("bare", '{"severity": "1", "likely_cause": "", "recommended_action": ""}'),
+        ],
+        vocab.PAIR_SCHEMA,
+    )
+    assert labelling.validate_pairs(bad).first().asDict() == {
+        "pairs": 3, "bad_json": 1, "missing_keys": 1, "bad_severity": 1, "missing_template": 1,
+    }
+    assert labelling.validate_pairs(bad, template=False).first().missing_template == 0
+    assert labelling.validation_sample(bad, 2).count() == 2
+
+
+def test_distribution(spark):
+    labelled = labelling.label_incidents(incident_rows(spark, ["x", "slow", "an error", "z"]))
+    got = {(r.label_kind, r.label): (r.n, r.pct) for r in labelling.label_distribution(labelled).collect()}
+    assert got == {
+        ("severity", "SEV-1"): (1, 25.0),
+        ("severity", "SEV-3"): (3, 75.0),
+        ("likely_cause", vocab.DEGRADATION): (1, 25.0),
+        ("likely_cause", vocab.DEFAULT_CAUSE): (3, 75.0),
+    }
+
+
+def test_golden_pairs(spark):
+    """Labels of shipped pairs, when EMBERLOG_GOLDEN_DIR names a folder with train/val/test.jsonl."""
+    import os
+
+    folder = os.environ.get("EMBERLOG_GOLDEN_DIR")
+    if not folder:
+        pytest.skip("EMBERLOG_GOLDEN_DIR is not set")
+    from emberlog.sources.files import read_pairs
+
+    pairs = read_pairs(spark, [f"{folder}/{s}.jsonl" for s in ("train", "val", "test")])
+    # the first word of each line behind the service line is its level
+    words = F.transform(F.slice(F.split("prompt", "\n"), 2, 100), lambda line: F.upper(F.split(line, " ")[0]))
+    counts = F.map_from_entries(
+        F.transform(
+            F.array_distinct(words),
+            lambda w: F.struct(w, F.size(F.filter(words, lambda x: x == w)).cast("bigint")),
+        )
+    )
+    incidents = pairs.select(
+        F.col("response").alias("expected"),
+        F.col("prompt").alias("incident_text"),
+        F.struct(counts.alias("levels_count")).alias("stats"),
+    )
+    rows = labelling.label_incidents(incidents).select("expected", "response").collect()
+    assert len(rows) == 48
+    assert all(r.expected == r.response for r in rows)
