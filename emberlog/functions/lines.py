@@ -35,6 +35,17 @@ def contains_any(text: Column, needles: list[str]) -> Column:
     )
 
 
+def any_word_pattern(words: list[str]) -> str:
+    """Pattern for one of ``words``. The character classes in front rule out most positions before
+    the alternatives are tried, which makes it faster than a substring search per word."""
+    depth = min(3, *map(len, words))
+    heads = "".join("[" + "".join(sorted({w[i] for w in words})) + "]" for i in range(depth))
+    return f"(?={heads})(?:{'|'.join(words)})"
+
+
+INFORMATIVE = any_word_pattern(vocab.INFORMATIVE_KEYWORDS)
+
+
 def parse_level(line: Column) -> Column:
     found = F.regexp_extract(line, f"(?U)({LEVEL})", 1)
     return F.when(found == "", vocab.DEFAULT_LEVEL).otherwise(found)
@@ -54,15 +65,12 @@ def parse_message(line: Column) -> Column:
 def is_informative(line: Column) -> Column:
     """A level that is always kept, or a keyword in the message.
 
-    The cheap substring tests on the whole line come first, so a line without any of the words
-    costs no pattern match.
+    The cheap tests on the whole line come first: a line without any of the words is never parsed.
     """
     kept_level = contains_any(line, vocab.ALWAYS_KEPT_LEVELS) & parse_level(line).isin(
         vocab.ALWAYS_KEPT_LEVELS
     )
-    keyword = contains_any(F.lower(line), vocab.INFORMATIVE_KEYWORDS) & contains_any(
-        F.lower(parse_message(line)), vocab.INFORMATIVE_KEYWORDS
-    )
+    keyword = F.lower(line).rlike(INFORMATIVE) & F.lower(parse_message(line)).rlike(INFORMATIVE)
     return kept_level | keyword
 
 
