@@ -113,15 +113,14 @@ def collapse_whitespace(text: Column) -> Column:
 
 
 def normalize_text(text: Column) -> Column:
-    """All masks over the whole line, lower case first so that mask names stay upper case."""
-    for step in (
-        lowercase,
-        strip_timestamp,
-        mask_block_id,
-        mask_ip_port,
-        mask_ip,
-        mask_size,
-        collapse_whitespace,
-    ):
-        text = step(text)
-    return text
+    """All masks over the whole line, lower case first so that mask names stay upper case.
+
+    Every mask needs a digit, so text without one skips them.
+    """
+    lowered = lowercase(text)
+    masked = lowered
+    for mask in (strip_timestamp, mask_block_id, mask_ip_port, mask_ip, mask_size):
+        masked = mask(masked)
+    return collapse_whitespace(
+        F.when(lowered.rlike(r"(?U)\d"), masked).otherwise(lowered)
+    )
