@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog import vocab
 from emberlog.functions import labels as B
+from emberlog.functions.repair import parse_object
 
 
 def action_dimension(df: DataFrame) -> DataFrame:
@@ -46,11 +47,9 @@ def label_incidents(incidents: DataFrame) -> DataFrame:
     )
 
 
-def parse_response(response: str = "response"):
-    """The label struct behind a JSON response column; null when it is no JSON object."""
-    return F.from_json(
-        F.col(response), "map<string,string>", {"allowSingleQuotes": "false"}
-    )
+def parse_response(response: str = "response") -> Column:
+    """The labels behind a JSON response column as text; null when it is no JSON object."""
+    return F.transform_values(parse_object(F.col(response)), lambda _, v: v.cast("string"))
 
 
 def validate_pairs(pairs: DataFrame, template: bool = True) -> DataFrame:

@@ -3,7 +3,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from emberlog import vocab
 from emberlog.operators import evaluation as E
 from emberlog.operators import experiments as X
 from emberlog.plans import flows

@@ -99,13 +99,14 @@ def test_validation_counts_every_row(spark):
     bad = spark.createDataFrame(
         [
             ('"severity": ""', "no json"),
+            ('"severity": ""', '{"severity": "SEV-1", "likely_cause": "", "recommended_action": ""} x'),
             ('"severity": ""', '{"severity": "SEV-1"}'),
             ("bare", '{"severity": "1", "likely_cause": "", "recommended_action": ""}'),
         ],
         vocab.PAIR_SCHEMA,
     )
     assert labelling.validate_pairs(bad).first().asDict() == {
-        "pairs": 3, "bad_json": 1, "missing_keys": 1, "bad_severity": 1, "missing_template": 1,
+        "pairs": 4, "bad_json": 2, "missing_keys": 1, "bad_severity": 1, "missing_template": 1,
     }
     assert labelling.validate_pairs(bad, template=False).first().missing_template == 0
     assert labelling.validation_sample(bad, 2).count() == 2
