@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from emberlog.llm import mixing, url_rules
+from emberlog.llm import gam, mixing, near_dedup, neighbours, outliers, pieces, token_counts, url_rules
 
 QUERIES = {
+    "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op1_quality": gam.op1_quality,
+    "op9_outliers": outliers.op9_outliers,
+    "op6_token_counts": token_counts.op6_token_counts,
+    "op2_neighbours": neighbours.op2_neighbours,
     "op7_url_filters": url_rules.op7_url_filters,
+    "op8_pieces": pieces.op8_pieces,
     "op10_mixing": mixing.op10_mixing,
 }
 
