@@ -25,8 +25,9 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def n_words(text: Column) -> Column:
+def n_words(text: Column | str) -> Column:
     """Number of runs of characters other than white space; 0 for null."""
+    text = F.col(text) if isinstance(text, str) else text
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, f"[{SPACE}]+"))).cast("bigint")
 

@@ -83,15 +83,12 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("m"))
         lower = labels.join(near.withColumnRenamed("a", "id"), "id").select(
-            "id", F.least("component", "m").alias("component"), F.col("component").alias("_was")
+            "id", F.least("component", "m").alias("_low"), F.col("component").alias("_was")
         )
-        lower = pin(lower, "labels")
-        up = lower.select(F.col("id").alias("component"), F.col("component").alias("_up"))
-        jumped = lower.join(up, "component", "left").select(
-            "id", F.least("component", "_up").alias("component"), "_was"
-        )
-        done = pin(jumped, "labels")
-        changed = done.where(F.col("component") != F.col("_was")).limit(1).count()
+        up = labels.select(F.col("id").alias("_low"), F.col("component").alias("_up"))
+        jumped = lower.join(up, "_low", "left")
+        component = F.least("_low", "_up")
+        done = pin(jumped.select("id", component.alias("component"), (component != F.col("_was")).alias("_new")), "labels")
         labels = done.select("id", "component")
-        if not changed:
+        if not done.where("_new").limit(1).count():
             return labels

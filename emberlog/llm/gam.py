@@ -136,12 +136,14 @@ def edges_of(values: np.ndarray, bins: int) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, pair_rounds: int = PAIR_ROUNDS) -> Additive:
-    """Boost the tables. Without rows, or with one class only, the score is (ones + 1) / (rows + 2)."""
+    """Boost the tables. With one class only the score is (ones + 1) / (rows + 2); without rows nothing
+    speaks against a document and every score is 1."""
     width = len(FEATURES)
     edges = [edges_of(x[:, j], BINS) for j in range(width)] if len(x) else [np.empty(0)] * width
     coarse = [edges_of(x[:, j], COARSE) for j in range(width)] if len(x) else [np.empty(0)] * width
     share = (y.sum() + 1) / (len(y) + 2)
-    model = Additive(float(np.log(share / (1 - share))), edges, [np.zeros(len(e) + 1) for e in edges], coarse, [], [])
+    bias = float(np.log(share / (1 - share))) if len(y) else 40.0
+    model = Additive(bias, edges, [np.zeros(len(e) + 1) for e in edges], coarse, [], [])
     if len(y) == 0 or y.min() == y.max():
         return model
     fine = [np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(edges)]

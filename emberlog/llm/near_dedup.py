@@ -9,10 +9,13 @@
    1 - (1 - 0.75**4)**32, all but 5 in a million, and more similar ones more surely.
 4. Verification on full sets, then union-find components.
 
-A band's bucket with m documents does not make m*m pairs. Every round compares each document with
-one leader per bucket (its least and its greatest id, then least keyed hashes) and joins components; a bucket in
-which all documents are in one component is done. What is left after the rounds, pairs of one bucket
-in different components, is compared in full, so no link between different components is missed.
+A band's bucket with m documents does not make m*m pairs. Each document is first compared with the two
+*hubs* of its buckets, the members that share the largest buckets and so lie in the middle of a
+group. Buckets whose documents then are in one component are done. In the others, those outside
+the hub's component are compared with all members, block by block inside tasks: a block pair holds at
+most ``BLOCK`` sets a side, counts all its intersections with array operations and hands on only the
+links that join components, so neither pairs nor intersections become rows and no link between
+different components is missed.
 """
 
 from __future__ import annotations
@@ -22,19 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.llm.common import pin, table
-from emberlog.llm.components import components
+from emberlog.llm.components import UnionFind, components
 
 WIDTH = 5
 SIZE = 128
 ROWS = 4
 #: Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Rounds with one leader per bucket before the rest is compared in full.
-ROUNDS = 3
+#: Members of a bucket that all others are compared with first.
+HUBS = 2
+#: Documents of one side of a block pair.
+BLOCK = 512
 
 M1, M2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Words a task remembers the hashes of.
@@ -196,8 +201,38 @@ def linked(left: Column, right: Column, width: int, percent: int) -> Column:
     return F.pandas_udf(run, "boolean")(left, right)
 
 
+def shared_counts(one: list[np.ndarray], many: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set of ``one``, its intersection sizes with all (non-empty) sets of ``many``."""
+    sizes = [len(x) for x in many]
+    whole, place = np.unique(np.concatenate(many), return_inverse=True)
+    starts = np.cumsum([0, *sizes[:-1]])
+    here = np.zeros(len(whole) + 1, dtype=np.int32)
+    for s in one:
+        at = np.searchsorted(whole, s)
+        at = at[whole[np.minimum(at, len(whole) - 1)] == s]
+        here[at] = 1
+        yield np.add.reduceat(here[place], starts)
+        here[at] = 0
+
+
+def joining_links(left: pd.DataFrame, right: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    """(id, component, text) twice: pairs of components with a link between them, a spanning choice."""
+    out: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        make, groups = Shingler(width), UnionFind()
+        one, many = ([make.shingles(t) for t in x["text"]] for x in (left, right))
+        sizes, parts = np.array([len(x) for x in many]), right["component"].to_numpy()
+        for s, own, shared in zip(one, left["component"].tolist(), shared_counts(one, many), strict=True):
+            near = (100 * shared >= percent * (len(s) + sizes - shared)) & (parts != own)
+            for other in np.unique(parts[near]).tolist():
+                if groups.root(own) != groups.root(other):
+                    groups.join(own, other)
+                    out.append((own, other))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def near_duplicates(
-    docs: DataFrame, width: int = WIDTH, size: int = SIZE, rows: int = ROWS, percent: int = PERCENT, rounds: int = ROUNDS
+    docs: DataFrame, width: int = WIDTH, size: int = SIZE, rows: int = ROWS, percent: int = PERCENT, hubs: int = HUBS, block: int = BLOCK
 ) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id, kept; one row per row of ``docs``.
 
@@ -210,60 +245,58 @@ def near_duplicates(
     made = pin(sketches(texts, width, size, rows), "sketches")
     members = made.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
     classes = pin(members.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    same = members.select("id", "digest").join(classes, "digest").where(F.col("id") != F.col("rep"))
-    links = pin(same.select(F.col("id").alias("a"), F.col("rep").alias("b")), "links")
-
-    reps = members.join(classes, "digest").where(F.col("id") == F.col("rep")).dropDuplicates(["id"])
-    posted = reps.select("id", "n", F.explode("bands").alias("band"))
-    shared = posted.groupBy("band").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low < _high")
-    bucket = pin(posted.join(shared.select("band"), "band"), "buckets")
-    # a text by id: of repeated ids the one whose set is the class's
-    wanted = bucket.select("id").distinct()
-    body = pin(texts.join(wanted, "id").join(reps.select("id", "digest"), "id").dropDuplicates(["id"]).select("id", "text"), "texts")
+
+    reps = members.join(classes, "digest").where(F.col("id") == F.col("rep"))
+    posted = reps.select("id", "n", F.explode("bands").alias("band")).distinct()
+    shared = posted.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    bucket = pin(posted.join(shared, "band"), "buckets")
+    wanted = bucket.groupBy("id").agg(F.sum("m").alias("score"))
+    body = pin(texts.join(wanted, "id").select("id", "text").dropDuplicates(["id"]), "texts")
+
+    scored = bucket.join(wanted, "id")
+    order = Window.partitionBy("band").orderBy(F.desc("score"), "id")
+    top = scored.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= hubs)
+    top = top.select("band", F.col("id").alias("b"), F.col("n").alias("_n"))
     bound = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent
+    pairs = bucket.join(top, "band").where(bound & (F.col("id") != F.col("b")))
+    pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
+    one = body.select(F.col("id").alias("a"), F.col("text").alias("_s"))
+    two = body.select(F.col("id").alias("b"), F.col("text").alias("_t"))
+    found = pairs.join(one, "a").join(two, "b").where(linked(F.col("_t"), F.col("_s"), width, percent))
+    labels = components(pin(found.select("a", "b"), "links"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of ids that are links; b is the one that many pairs may share."""
-        one = body.select(F.col("id").alias("a"), F.col("text").alias("_s"))
-        two = body.select(F.col("id").alias("b"), F.col("text").alias("_t"))
-        both = pairs.join(one, "a").join(two, "b")
-        return pin(both.where(linked(F.col("_t"), F.col("_s"), width, percent)).select("a", "b"), "links")
-
-    labels = components(links)
-    seen: list[DataFrame] = []
-    for turn in range(rounds):
-        named = bucket.join(labels.select("id", "component"), "id", "left")
-        named = named.withColumn("component", F.coalesce("component", "id"))
-        pick = [F.col("id"), -F.col("id")][turn] if turn < 2 else F.xxhash64(F.lit(turn), "id")
-        lead = named.groupBy("band").agg(
-            F.min_by(F.struct("id", "n", "component"), pick).alias("_lead"),
-            F.min("component").alias("_low"), F.max("component").alias("_high"),
-        ).where("_low < _high")
-        lead = lead.select("band", F.col("_lead.id").alias("b"), F.col("_lead.n").alias("_n"), F.col("_lead.component").alias("_c"))
-        pairs = named.join(lead, "band").where((F.col("component") != F.col("_c")) & bound)
-        pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
-        for old in seen:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = pin(pairs, "pairs")
-        seen.append(pairs)
-        links = links.unionByName(verified(pairs))
-        labels = components(links)
     named = bucket.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = named.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
-    rest = pin(named.join(mixed.select("band"), "band"), "rest")
-    other = rest.select("band", F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("component").alias("_c"))
-    open_ = (F.col("id") < F.col("_id")) & (F.col("component") != F.col("_c")) & bound
-    pairs = rest.join(other, "band").where(open_).select(F.col("id").alias("b"), F.col("_id").alias("a")).distinct()
-    for old in seen:
-        pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = pairs.join(old.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    labels = components(links.unionByName(verified(pairs)))
-
-    out = made.select("id", "n").join(labels, "id", "left")
-    component = F.coalesce("component", "id")
+    named = named.join(wanted, "id")
+    state = named.groupBy("band").agg(
+        F.max_by("component", F.struct("score", -F.col("id"))).alias("_hub"), F.count_distinct("component").alias("_k")
+    ).where("_k > 1")
+    rest = pin(named.join(state, "band").select("band", "id", "m", "component", "_hub"), "rest")
+    outside = rest.groupBy("band").agg(F.count_if(F.col("component") != F.col("_hub")).alias("u"))
+    sized = rest.join(outside, "band").withColumns(
+        {"nu": F.ceil(F.col("u") / block), "nm": F.ceil(F.col("m") / block), "_x": F.xxhash64("id")}
+    )
+    blocks = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    mine = lambda n: F.pmod("_x", F.col(n))
+    left = sized.where(F.col("component") != F.col("_hub")).select("band", "id", "component", mine("nu").alias("i"), blocks("nm").alias("j"))
+    right = sized.select("band", "id", "component", blocks("nu").alias("i"), mine("nm").alias("j"))
+    text = body.select("id", "text")
+    left, right = (x.join(text, "id").select("band", "i", "j", "component", "text").toDF("band", "i", "j", "component", "text") for x in (left, right))
+    compared = left.groupBy("band", "i", "j").cogroup(right.groupBy("band", "i", "j"))
+    more = pin(compared.applyInPandas(lambda a, b: joining_links(a, b, width, percent), "a bigint, b bigint"), "links")
+    above = components(more).select(F.col("id").alias("component"), F.col("component").alias("_up"))
+    labels = labels.join(above, "component", "left").select("id", F.coalesce("_up", "component").alias("component"))
+    # components of single documents that only the blocks linked
+    single = above.join(labels, F.col("id") == above["component"], "left_anti")
+    labels = labels.union(single.select(F.col("component").alias("id"), F.col("_up").alias("component")))
+
+    by_set = classes.join(labels, F.col("rep") == F.col("id"), "left")
+    by_set = by_set.select("digest", F.coalesce("component", "rep").alias("component"))
+    out = made.join(by_set, "digest", "left").withColumn(
+        "component", F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    )
     return out.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"),
     )
 
 

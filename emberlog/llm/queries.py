@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from emberlog.llm import gam, mixing, near_dedup, neighbours, outliers, pieces, token_counts, url_rules
+from emberlog.llm import (
+    gam,
+    line_dedup,
+    mixing,
+    near_dedup,
+    neighbours,
+    outliers,
+    pieces,
+    surrogates,
+    token_counts,
+    url_rules,
+)
 
 QUERIES = {
-    "op3_near_dedup": near_dedup.op3_near_dedup,
     "op1_quality": gam.op1_quality,
-    "op9_outliers": outliers.op9_outliers,
-    "op6_token_counts": token_counts.op6_token_counts,
     "op2_neighbours": neighbours.op2_neighbours,
+    "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op4_surrogates": surrogates.op4_surrogates,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_url_filters": url_rules.op7_url_filters,
     "op8_pieces": pieces.op8_pieces,
+    "op9_outliers": outliers.op9_outliers,
     "op10_mixing": mixing.op10_mixing,
 }
 

@@ -92,7 +92,8 @@ def pretoken_pieces(docs: DataFrame, path: str) -> DataFrame:
                 if len(held) >= HELD:
                     yield pd.DataFrame({"pretoken": list(held.keys()), "n": list(held.values())})
                     held = Counter()
-        yield pd.DataFrame({"pretoken": list(held.keys()), "n": list(held.values())})
+        if held:
+            yield pd.DataFrame({"pretoken": list(held.keys()), "n": list(held.values())})
 
     def sized(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         split = splitter(path)
