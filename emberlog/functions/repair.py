@@ -52,7 +52,7 @@ def parse_object(candidate: Column) -> Column:
     return F.when(closed & (strip(candidate) != ""), F.get(values, F.lit(0)))
 
 
-def object_entry(obj: Column, key: str) -> Column:
+def object_entry(obj: Column, key: str | Column) -> Column:
     """``struct<key, value>`` of the last ``key`` in the object, null when it is absent."""
     return F.try_element_at(
         F.filter(F.map_entries(obj), lambda e: e["key"] == key), F.lit(-1)

@@ -19,11 +19,10 @@ TRUTH = {"severity": "true_severity", "likely_cause": "true_cause", "recommended
 
 
 def truth_columns(pairs: DataFrame) -> DataFrame:
-    """Add the three truth columns parsed from ``response``."""
+    """Add the three truth columns parsed from ``response``, and ``true_keys``, how many keys it has."""
     parsed = pairs.withColumn("_t", parse_response())
-    return parsed.withColumns(
-        {name: F.try_element_at("_t", F.lit(k)) for k, name in TRUTH.items()}
-    ).drop("_t")
+    found = {name: F.try_element_at("_t", F.lit(k)) for k, name in TRUTH.items()}
+    return parsed.withColumns(found | {"true_keys": F.size(F.map_keys("_t"))}).drop("_t")
 
 
 def pair_predictions(
@@ -39,7 +38,12 @@ def _filled(name: str) -> Column:
 
 
 def score_rows(paired: DataFrame) -> DataFrame:
-    """Add one boolean per question asked of a prediction."""
+    """Add one boolean per question asked of a prediction.
+
+    An exact match has the same three keys and values on both sides and no key besides; truths without
+    ``true_keys`` are taken to have no other key.
+    """
+    true_keys = F.col("true_keys") if "true_keys" in paired.columns else F.lit(3)
     ok = {k: F.col(k).eqNullSafe(F.col(t)) for k, t in TRUTH.items()}
     return paired.withColumns(
         {
@@ -49,14 +53,15 @@ def score_rows(paired: DataFrame) -> DataFrame:
             "exact": ok["severity"]
             & ok["likely_cause"]
             & ok["recommended_action"]
-            & (F.col("n_keys") == 3),
+            & F.coalesce((F.col("n_keys") == 3) & (true_keys == 3), F.lit(False)),
             "filled": _filled("severity") & _filled("likely_cause") & _filled("recommended_action"),
         }
     )
 
 
 def rate(count: Column, total: Column) -> Column:
-    return (count / total) * 100
+    """Percent; null where there is nothing to count."""
+    return F.try_divide(count, total) * 100
 
 
 def _counts(**flags: str) -> list[Column]:
@@ -139,7 +144,8 @@ COMPARED = {"severity": "severity_ok", "likely_cause": "cause_ok", "exact_match"
 def compare_runs(
     scored: DataFrame, baseline: str = "baseline", candidate: str = "candidate", by: str = "run"
 ) -> DataFrame:
-    """``(metric, baseline, candidate, difference)`` in percent; both runs in one aggregate."""
+    """``(metric, baseline, candidate, difference)`` in percent; both runs in one aggregate. The side of a
+    run that is absent is null, and so is its difference."""
     base, cand = F.col(by) == baseline, F.col(by) == candidate
     sums = scored.agg(
         *[

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog import vocab
@@ -29,15 +29,13 @@ def best_run(runs: DataFrame) -> DataFrame:
 
 
 def improvement_pct(runs: DataFrame, baseline: str = vocab.BASELINE_CONFIG) -> DataFrame:
-    """Validation-loss reduction against the baseline run, in percent."""
-    reference = runs.where(F.col("config_name") == baseline).select(
-        F.first("val_loss").alias("base_loss")
-    ).scalar()
-    return runs.select(
-        "ord",
-        "config_name",
-        "val_loss",
-        ((reference - F.col("val_loss")) / reference * 100).alias("improvement_pct"),
+    """Validation-loss reduction against the first listed baseline run, in percent; null without one or
+    where its loss is zero. One pass over a table of one row per run."""
+    first = F.min_by("val_loss", F.when(F.col("config_name") == baseline, F.col("ord")))
+    reference = first.over(Window.partitionBy(F.lit(0)))
+    gain = F.try_divide(F.col("base_loss") - F.col("val_loss"), F.col("base_loss")) * 100
+    return runs.select("ord", "config_name", "val_loss", reference.alias("base_loss")).select(
+        "ord", "config_name", "val_loss", gain.alias("improvement_pct")
     )
 
 

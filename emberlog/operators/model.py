@@ -13,7 +13,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import (
+    HashingTF,
+    IDF,
+    IndexToString,
+    RegexTokenizer,
+    StringIndexerModel,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +28,8 @@ from emberlog.functions import labels as B
 from emberlog.operators.labelling import parse_response
 
 TARGETS = ("severity", "likely_cause")
+#: Labels are numbered over the fixed vocabulary; any other value shares the number after the last.
+LABELS = {"severity": vocab.SEVERITIES, "likely_cause": list(vocab.ACTIONS)}
 
 
 @dataclass(frozen=True)
@@ -64,7 +72,8 @@ def _with_labels(pairs: DataFrame) -> DataFrame:
 def train_triage_model(train: DataFrame, val: DataFrame, params: Params = Params()) -> TriageModel:
     """Fit both targets on ``train``; losses are mean log losses over the targets.
 
-    Tokens and term weights are computed once and shared by the two fits.
+    Tokens and term weights are computed once and shared by the two fits. A label that ``train`` does
+    not hold counts with its full loss in ``val``; no row is left out.
     """
     started = time.time()
     features = Pipeline(
@@ -82,9 +91,8 @@ def train_triage_model(train: DataFrame, val: DataFrame, params: Params = Params
         for target in TARGETS:
             fitted[target] = Pipeline(
                 stages=[
-                    StringIndexer(
-                        inputCol=target, outputCol="_label", handleInvalid="skip",
-                        stringOrderType="frequencyDesc",
+                    StringIndexerModel.from_labels(
+                        LABELS[target], inputCol=target, outputCol="_label", handleInvalid="keep"
                     ),
                     LogisticRegression(
                         featuresCol="_features", labelCol="_label", maxIter=params.max_iter,
@@ -118,7 +126,8 @@ def predict_triage(model: TriageModel, df: DataFrame) -> DataFrame:
         classifier = fitted.stages[-1]
         out = classifier.transform(out).drop("_raw", "_probability")
         name = IndexToString(
-            inputCol="_prediction", outputCol=f"_{target}", labels=fitted.stages[0].labels
+            inputCol="_prediction", outputCol=f"_{target}",
+            labels=[*LABELS[target], vocab.UNKNOWN],
         )
         out = name.transform(out).drop("_prediction")
     cause = F.col("_likely_cause")

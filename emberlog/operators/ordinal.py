@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,19 +39,23 @@ def dense_position(
     """Add the 0-based rank of each row within ``keys`` by ``order``.
 
     ``block`` must not decrease along ``order`` and must depend on the row alone, so that both
-    sides agree; rows without a key or block have no position. The rows are shuffled once, on
-    ``(keys, block)``, which serves the ranks and the join with the offsets. ``starts`` (``keys``, ``start``) counts on from earlier rows; it meets the
-    offsets, not the rows, so a hot key stays spread.
+    sides agree. A null key is a key of its own; a null in ``order`` or ``block`` has no place and
+    raises an error. The rows are shuffled once, on ``(keys, block)``, which serves the ranks and
+    the join with the offsets. ``starts`` (``keys``, ``start``) counts on from earlier rows; it
+    meets the offsets, not the rows, so a hot key stays spread.
 
     Counting the blocks normally scans the keys a second time, cheap on a stored table. With
     ``read_once`` the counts come from the shuffled rows instead, for inputs behind a costly filter.
     """
-    slot = [*keys, "_block"]
-    placed = df.withColumn("_block", block).where(
-        reduce(and_, [F.col(c).isNotNull() for c in slot])
+    # one struct, so that null keys meet in plain equality joins too
+    slot = ["_key", "_block"]
+    placeless = reduce(or_, [F.col(c).isNull() for c in order], block.isNull())
+    failure = F.raise_error(F.lit(f"null in the order columns {', '.join(order)}"))
+    placed = df.withColumns(
+        {"_key": F.struct(*keys), "_block": F.when(placeless, failure).otherwise(block)}
     )
     before = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("_key")
         .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -66,16 +70,16 @@ def dense_position(
     else:
         offsets = placed.groupBy(*slot).agg(n).select(*slot, offset)
     if starts is not None:
-        offsets = offsets.join(starts.select(*keys, "start"), [*keys], "left").select(
-            *slot, (F.col("_offset") + F.coalesce("start", F.lit(0))).alias("_offset")
-        )
+        offsets = offsets.join(
+            starts.select(F.struct(*keys).alias("_key"), "start"), "_key", "left"
+        ).select(*slot, (F.col("_offset") + F.coalesce("start", F.lit(0))).alias("_offset"))
     ranked = placed.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*slot).orderBy(*order))
     )
     return (
         ranked.join(offsets, slot)
         .withColumn(name, (F.col("_offset") + F.col("_rank") - 1).cast("bigint"))
-        .drop("_block", "_offset", "_rank")
+        .drop("_key", "_block", "_offset", "_rank")
     )
 
 

@@ -18,6 +18,7 @@ from emberlog.operators import incidents as inc
 from emberlog.operators import labelling, model, splits
 from emberlog.operators import lines as lin
 from emberlog.operators import repair as rep
+from emberlog.operators.labelling import parse_response
 from emberlog.operators.windows import expected_windows, sliding_windows
 from emberlog.plans import flows
 from emberlog.plans import oracles as Q
@@ -1001,18 +1002,60 @@ def _parts(spark, sf):
     return rows, rows.where("split = 'train'"), rows.where("split = 'val'")
 
 
-@query("train_triage_model")
+@query(
+    "train_triage_model",
+    """SELECT count_if(split = 'train') AS train_rows, count_if(split = 'val') AS val_rows,
+         true AS better_than_constant FROM splits""",
+    "splits",
+)
 def _(spark, sf):
-    _, train, val = _parts(spark, sf)
+    """Both losses must beat those of the constant guess, the class frequencies of the training split."""
+    rows, train, val = _parts(spark, sf)
     trained = model.train_triage_model(train, val)
-    return train.agg(
-        F.count(F.lit(1)).alias("train_rows"),
-        F.lit(trained.train_loss).alias("train_loss"),
-        F.lit(trained.val_loss).alias("val_loss"),
+    constant = {part: _constant_loss(train, side) for part, side in (("t", train), ("v", val))}
+    better = trained.train_loss < constant["t"] and trained.val_loss < constant["v"]
+    return rows.agg(
+        F.count_if(F.col("split") == "train").alias("train_rows"),
+        F.count_if(F.col("split") == "val").alias("val_rows"),
+        F.lit(better).alias("better_than_constant"),
     )
 
 
-@query("predict_triage")
+def _constant_loss(train: DataFrame, side: DataFrame) -> float:
+    """Mean log loss on ``side`` of the label shares of ``train``."""
+    total, n = 0.0, train.count()
+    for target in model.TARGETS:
+        share = train.groupBy(target).agg((F.count(F.lit(1)) / n).alias("p"))
+        found = side.join(share, target, "left").select(F.coalesce("p", F.lit(1e-15)).alias("p"))
+        total += found.agg(F.avg(-F.log("p"))).first()[0]
+    return total / len(model.TARGETS)
+
+
+@query(
+    "predict_triage",
+    """SELECT count(*) AS rows, count(*) AS valid_json, count(*) AS listed_labels,
+         count(*) AS action_of_cause FROM splits WHERE split = 'test'""",
+    "splits",
+)
+def _(spark, sf):
+    """What the model writes on the test split: strict JSON, listed labels, the action of its cause."""
+    rows, train, val = _parts(spark, sf)
+    answers = model.predict_triage(
+        model.train_triage_model(train, val), rows.where("split = 'test'").select("prompt")
+    )
+    said = answers.select(parse_response("raw_output").alias("m"))
+    part = {k: F.try_element_at("m", F.lit(k)) for k in vocab.FIELDS}
+    listed = part["severity"].isin(vocab.SEVERITIES) & part["likely_cause"].isin(list(vocab.ACTIONS))
+    action = part["recommended_action"].eqNullSafe(B.recommended_action(part["likely_cause"]))
+    return said.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("m").isNotNull()).alias("valid_json"),
+        F.count_if(listed).alias("listed_labels"),
+        F.count_if(action).alias("action_of_cause"),
+    )
+
+
+@query("predict_triage_scores")
 def _(spark, sf):
     """Predictions on the test split, through repair, override and scoring."""
     rows, train, val = _parts(spark, sf)
@@ -1023,10 +1066,21 @@ def _(spark, sf):
     return E.field_accuracy(flows.outputs_to_scores(answers.withColumn("run", F.lit("model"))))
 
 
-@query("tune_triage_model")
+@query(
+    "tune_triage_model",
+    f"""SELECT ord, config_name, true AS has_losses, ord = 2 AS wins
+        FROM (VALUES {", ".join(f"({i}, {Q.lit(c.name)})" for i, c in enumerate(model.CONFIGS))}) t(ord, config_name)""",
+)
 def _(spark, sf):
+    """The winner, by least validation loss, is the configuration with most passes and least shrinkage."""
     _, train, val = _parts(spark, sf)
-    return X.leaderboard(model.tune_triage_model(train, val)).drop("runtime_minutes")
+    runs = pin(model.tune_triage_model(train, val), "tuning")
+    best = X.best_run(runs).select(F.col("ord").alias("best"))
+    return runs.join(best, F.col("ord") == F.col("best"), "left").select(
+        "ord", "config_name",
+        (F.col("train_loss").isNotNull() & F.col("val_loss").isNotNull()).alias("has_losses"),
+        F.col("best").isNotNull().alias("wins"),
+    )
 
 
 # --- streams -----------------------------------------------------------------
