@@ -7,12 +7,15 @@
    is made where the text is read and no frequent pre-token is shuffled. All other pre-tokens of a document
    are joined with the table of step 2, whatever its size, and added up.
 
-Pre-tokens never cross ASCII white space, so a text is cut there first; what a stretch between white
-space is made of is worked out once per task and remembered (a bounded memory).
+Texts of the common Latin letters (below U+0250, where normalization changes nothing but case) are cut into
+pre-tokens by the tokenizer's own pattern in one scan. All other texts go through the tokenizer's own normalizer and
+pre-tokenizer, stretch by stretch between ASCII white space, which no pre-token crosses; what a stretch is made of is
+remembered (a bounded memory).
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -20,6 +23,7 @@ from functools import cache
 
 import pandas as pd
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -33,6 +37,12 @@ HEAD = 1 << 17
 HELD = 300_000
 
 
+#: The tokenizer's pattern on lower-case text, white space written out. Fixed value, as in its file.
+PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\xa0\p{L}\p{N}]+")
+#: What only the tokenizer itself takes apart.
+UNCOMMON = re.compile("[^\t-\r\x20-\x7e\x85\xa0-\u024f]")
+
+
 class Splitter:
     """The tokenizer's own normalizer, pre-tokenizer and model, taken apart."""
 
@@ -43,6 +53,18 @@ class Splitter:
         longest_first = sorted(special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
         self.known: dict[str, tuple[str, ...]] = {}
+        # the scan holds for this pattern and normalizer only
+        parts = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        same = split.get("pattern", {}).get("Regex") == PATTERN.pattern.replace(r"\t-\r \x85\xa0", r"\s")
+        self.scans = same and kinds == ["NFC", "Replace", "Lowercase"]
+
+    def scanned(self, text: str) -> list[str] | None:
+        """All pre-tokens of a text of common letters; null for others and for texts with special tokens."""
+        if not self.scans or UNCOMMON.search(text) or (self.cut and self.cut.search(text)):
+            return None
+        return PATTERN.findall(text.lower())
 
     def pretokens(self, stretch: str) -> tuple[str, ...]:
         """Pre-tokens of a stretch without white space; a special token's string stays whole."""
@@ -57,22 +79,28 @@ class Splitter:
 
     def plain(self, part: str) -> list[str]:
         if part in self.special:
-            return [part]
+            return ["\1" + part]
         normal = self.tokenizer.normalizer.normalize_str(part) if self.tokenizer.normalizer else part
-        # the bytes' stand-ins of a pre-token can spell a special token's string: keep the two apart
+        # kept apart from special tokens and from scanned pre-tokens, which never begin like this
         return ["\0" + p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def counts(self, text: str | None) -> Counter[str]:
-        """Frequencies of the pre-tokens of a text."""
-        total: Counter[str] = Counter()
-        for stretch, n in Counter(re.split(r"[ \t-\r]+", text or "")).items():
+    def add(self, text: str | None, total: Counter[str]) -> Counter[str]:
+        """Add the frequencies of a text's pre-tokens to ``total``."""
+        found = self.scanned(text or "")
+        if found is not None:
+            total.update(found)
+            return total
+        for stretch, n in Counter(re.split(r"[ \t-\r]+", text)).items():
             if stretch:
                 for p in self.pretokens(stretch):
                     total[p] += n
         return total
 
     def n_pieces(self, pretoken: str) -> int:
-        return len(self.tokenizer.model.tokenize(pretoken[1:])) if pretoken[0] == "\0" else 1
+        if pretoken[0] == "\1":
+            return 1
+        mapped = [pretoken[1:]] if pretoken[0] == "\0" else [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(pretoken)]
+        return sum(len(self.tokenizer.model.tokenize(p)) for p in mapped)
 
 
 @cache
@@ -88,7 +116,7 @@ def pretoken_pieces(docs: DataFrame, path: str) -> DataFrame:
         split, held = splitter(path), Counter()
         for batch in batches:
             for text in batch["text"]:
-                held.update(split.counts(text))
+                split.add(text, held)
                 if len(held) >= HELD:
                     yield pd.DataFrame({"pretoken": list(held.keys()), "n": list(held.values())})
                     held = Counter()
@@ -123,7 +151,7 @@ def count_tokens(docs: DataFrame, tokenizer: str | None = None, limit: int = 204
             sums, rest, times = [], [], []
             for text in batch["text"]:
                 total, other = 0, []
-                for p, n in split.counts(text).items():
+                for p, n in split.add(text, Counter()).items():
                     size = known.get(p)
                     if size is None:
                         other.append((p, n))
