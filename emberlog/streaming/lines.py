@@ -18,6 +18,8 @@ from emberlog.operators.repair import triage
 from emberlog.operators.windows import expected_windows, sliding_windows
 
 LINE_FIELDS = ["normalized", "level", "component"]
+#: What a line of a stream carries besides; null where the input has no event time.
+EVENT_TIME = "ts"
 
 
 def stream_clean(lines: DataFrame) -> DataFrame:
@@ -35,7 +37,9 @@ class WindowState:
     """
 
     POSITIONS = "source string, next_pos bigint"
-    LINES = "source string, pos bigint, normalized string, level string, component string"
+    LINES = (
+        "source string, pos bigint, normalized string, level string, component string, ts timestamp"
+    )
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -63,18 +67,26 @@ def advance_windows(
 
     Lines of one batch are ordered by ``seq``. A line that arrives in a later batch comes later,
     whatever its ``seq``: a written window is never reopened.
+
+    The windows are published last and at once, by renaming a hidden folder. A batch that is
+    already published does nothing when it runs again, so what reads the windows as a stream sees
+    each of them once.
     """
+    final = f"{out}/batch={batch_id}"
+    if exists(state.spark, final):
+        return
+    if EVENT_TIME not in batch.columns:
+        batch = batch.withColumn(EVENT_TIME, F.lit(None).cast("timestamp"))
+    fields = [*LINE_FIELDS, EVENT_TIME]
     seen = state.read(batch_id - 1, "positions", WindowState.POSITIONS)
     placed = line_ordinal(
-        batch.select("source", "seq", *LINE_FIELDS),
+        batch.select("source", "seq", *fields),
         starts=seen.withColumnRenamed("next_pos", "start"),
     )
     carried = state.read(batch_id - 1, "open", WindowState.LINES)
     lines = state.write(
-        carried.unionByName(placed.select("source", "pos", *LINE_FIELDS)), batch_id, "lines"
+        carried.unionByName(placed.select("source", "pos", *fields)), batch_id, "lines"
     )
-    sliding_windows(lines, size, stride).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
     reach = lines.groupBy("source").agg((F.max("pos") + 1).alias("next_pos"))
     positions = state.write(
         seen.unionByName(reach).groupBy("source").agg(F.max("next_pos").alias("next_pos")),
@@ -88,7 +100,36 @@ def advance_windows(
     )
     # joined on (source, pos): unique, so a hot source does not gather in one task
     still_open = lines.join(wanted, ["source", "pos"])
-    state.write(still_open.select("source", "pos", *LINE_FIELDS), batch_id, "open")
+    state.write(still_open.select("source", "pos", *fields), batch_id, "open")
+    staged = f"{out}/_batch-{batch_id}"
+    timed_windows(lines, size, stride).write.mode("overwrite").parquet(staged)
+    publish(state.spark, staged, final)
+
+
+def timed_windows(lines: DataFrame, size: int, stride: int) -> DataFrame:
+    """Windows with ``ts``, the latest event time of their lines."""
+    found = sliding_windows(lines, size, stride, fields=("pos", *LINE_FIELDS, EVENT_TIME))
+    member = lambda m: F.struct(*[m[c].alias(c) for c in ("pos", *LINE_FIELDS)])
+    return found.withColumn(
+        EVENT_TIME, F.array_max(F.transform("members", lambda m: m[EVENT_TIME]))
+    ).withColumn("members", F.transform("members", member))
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def publish(spark: SparkSession, staged: str, final: str) -> None:
+    """Give a finished folder its name, in one step."""
+    files, where = _file_system(spark, staged)
+    if not files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(final)):
+        raise RuntimeError(f"cannot publish {final}")
 
 
 def stream_windows(
@@ -109,9 +150,9 @@ def stream_windows(
 def read_windows(spark: SparkSession, out: str) -> DataFrame:
     schema = (
         "source string, win bigint, members array<struct<pos: bigint, normalized: string, "
-        "level: string, component: string>>"
+        "level: string, component: string>>, ts timestamp"
     )
-    return spark.read.schema(schema).parquet(out).select("source", "win", "members")
+    return spark.read.schema(schema).parquet(out).select("source", "win", "members", EVENT_TIME)
 
 
 def windows_stream(spark: SparkSession, out: str) -> DataFrame:
@@ -127,7 +168,8 @@ def stream_incidents(windows: DataFrame) -> DataFrame:
 
 def stream_dedup(incidents: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
     """Drop repeats of an id within the watermark. Ids older than that are forgotten, unlike in the
-    batch dedup, which keeps state bounded."""
+    batch dedup, which keeps state bounded; rows that lag behind by more than ``delay`` are lost,
+    so it must cover the slowest source."""
     return incidents.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["incident_id"])
 
 

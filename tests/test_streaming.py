@@ -67,6 +67,12 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     once = cut(S.read_windows(spark, out))
     S.advance_windows(batches[1], 1, state, out, 8, 4)
     assert cut(S.read_windows(spark, out)) == once
+    # what reads the windows as a stream sees no window twice
+    seen = S.windows_stream(spark, out).select("source", "win")
+    S.run_available(S.to_files(seen, str(tmp_path / "seen")), str(tmp_path / "seen-checkpoint"))
+    S.advance_windows(batches[1], 1, state, out, 8, 4)
+    S.run_available(S.to_files(seen, str(tmp_path / "seen")), str(tmp_path / "seen-checkpoint"))
+    assert spark.read.schema(seen.schema).parquet(str(tmp_path / "seen")).count() == len(once)
     S.advance_windows(batches[2], 2, state, out, 8, 4)
     whole = flows.lines_to_windows(spark.createDataFrame(log_rows(90), vocab.LINE_SCHEMA))
     assert cut(S.read_windows(spark, out)) == cut(whole)
