@@ -11,9 +11,9 @@
 
 A band's bucket with m documents does not make m*m pairs. Each document is first compared with the two
 *hubs* of its buckets, the members that share the largest buckets and so lie in the middle of a
-group. Buckets whose documents then are in one component are done. In the others, those outside
-the hub's component are compared with all members, block by block inside tasks: a block pair holds at
-most ``BLOCK`` sets a side, counts all its intersections with array operations and hands on only the
+group. Buckets whose documents then are in one component are done. The others are put together by
+their first hub, with which all members of such a group share a band. Members outside the hub's component are
+compared with all members, block by block inside tasks: a block pair holds about ``BLOCK`` sets a side, counts all its intersections with array operations and hands on only the
 links that join components, so neither pairs nor intersections become rows and no link between
 different components is missed.
 """
@@ -267,21 +267,23 @@ def near_duplicates(
 
     named = bucket.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = named.join(wanted, "id")
-    state = named.groupBy("band").agg(
-        F.max_by("component", F.struct("score", -F.col("id"))).alias("_hub"), F.count_distinct("component").alias("_k")
-    ).where("_k > 1")
-    rest = pin(named.join(state, "band").select("band", "id", "m", "component", "_hub"), "rest")
-    outside = rest.groupBy("band").agg(F.count_if(F.col("component") != F.col("_hub")).alias("u"))
-    sized = rest.join(outside, "band").withColumns(
+    hub = F.max_by(F.struct("id", "component"), F.struct("score", -F.col("id")))
+    state = named.groupBy("band").agg(hub.alias("_h"), F.count_distinct("component").alias("_k")).where("_k > 1")
+    # buckets with the same hub make one group: all its members share a band with the hub
+    group = named.join(state, "band").select(F.col("_h.id").alias("hub"), F.col("_h.component").alias("_hub"), "id", "component")
+    rest = pin(group.distinct(), "rest")
+    counts = rest.groupBy("hub").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("component") != F.col("_hub")).alias("u"))
+    sized = rest.join(counts.where("u > 0"), "hub").withColumns(
         {"nu": F.ceil(F.col("u") / block), "nm": F.ceil(F.col("m") / block), "_x": F.xxhash64("id")}
     )
     blocks = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     mine = lambda n: F.pmod("_x", F.col(n))
-    left = sized.where(F.col("component") != F.col("_hub")).select("band", "id", "component", mine("nu").alias("i"), blocks("nm").alias("j"))
-    right = sized.select("band", "id", "component", blocks("nu").alias("i"), mine("nm").alias("j"))
+    left = sized.where(F.col("component") != F.col("_hub")).select("hub", "id", "component", mine("nu").alias("i"), blocks("nm").alias("j"))
+    right = sized.select("hub", "id", "component", blocks("nu").alias("i"), mine("nm").alias("j"))
     text = body.select("id", "text")
-    left, right = (x.join(text, "id").select("band", "i", "j", "component", "text").toDF("band", "i", "j", "component", "text") for x in (left, right))
-    compared = left.groupBy("band", "i", "j").cogroup(right.groupBy("band", "i", "j"))
+    names = ["hub", "i", "j", "component", "text"]
+    left, right = (x.join(text, "id").select(*names).toDF(*names) for x in (left, right))
+    compared = left.groupBy("hub", "i", "j").cogroup(right.groupBy("hub", "i", "j"))
     more = pin(compared.applyInPandas(lambda a, b: joining_links(a, b, width, percent), "a bigint, b bigint"), "links")
     above = components(more).select(F.col("id").alias("component"), F.col("component").alias("_up"))
     labels = labels.join(above, "component", "left").select("id", F.coalesce("_up", "component").alias("component"))
