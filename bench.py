@@ -16,7 +16,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from emberlog.plans.registry import QUERIES  # noqa: E402
-from emberlog.session import build_session  # noqa: E402
+from emberlog.session import build_session, drop_stages  # noqa: E402
 
 HEADLINE = [
     "triage_by_host",
@@ -76,6 +76,7 @@ def main() -> None:
             }
         )
     )
+    drop_stages(spark)
     spark.stop()
 
 

@@ -132,6 +132,25 @@ def _(spark, sf):
     )
 
 
+@query(
+    "files_to_incidents",
+    "SELECT source, win, incident_id, service FROM incidents",
+    "incidents",
+)
+def _(spark, sf):
+    """Text files, one folder per source, a blank line before every tenth, to incidents."""
+    path = stage_path(spark, "text")
+    lines = log_lines(spark, sf).select("source", "seq", "line")
+    blank = lines.where(F.pmod("seq", F.lit(10)) == 0).withColumn("line", F.lit(""))
+    both = lines.withColumn("_n", F.lit(1)).unionByName(blank.withColumn("_n", F.lit(0)))
+    # the order within a source is that of its file, so each source is one file here
+    ordered = both.repartition("source").sortWithinPartitions("source", "seq", "_n")
+    ordered.select("source", F.col("line").alias("value")).write.partitionBy("source").text(path)
+    found, _ = flows.files_to_incidents(spark, f"{path}/source=*")
+    source = F.regexp_extract("source", "source=([^/]+)/", 1)
+    return found.select(source.alias("source"), "win", "incident_id", "service")
+
+
 @query(
     "incidents_json",
     """SELECT incident_id, service, incident_text, warn AS warn_lines, 8 AS n_lines FROM incidents""",

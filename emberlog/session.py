@@ -43,9 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: Stage tables of this process, by application.
+_STAGES: dict[str, list[str]] = {}
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/emberlog-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/emberlog-{name}-{uuid.uuid4().hex}"
+    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove all stage tables of this application. For the end of a job, when no table that was
+    read back from a stage is needed any more."""
+    for name in _STAGES.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from emberlog.session import build_session  # noqa: E402
+from emberlog.session import build_session, drop_stages  # noqa: E402
 
 
 # column expressions in test modules need a running session at import
@@ -23,6 +23,7 @@ SESSION.sparkContext.setLogLevel("ERROR")
 @pytest.fixture(scope="session")
 def spark():
     yield SESSION
+    drop_stages(SESSION)
     SESSION.stop()
 
 

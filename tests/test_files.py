@@ -139,3 +139,17 @@ def test_stage_tables_go_to_the_named_folder(spark):
     df = pin(spark.range(3), "range")
     assert "parquet" in df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 3
+
+
+def test_a_finished_job_leaves_nothing(spark, tmp_path):
+    from emberlog import session
+
+    old = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert session.pin(spark.range(3).toDF("n"), "stage").count() == 3
+        assert list(tmp_path.iterdir())
+        session.drop_stages(spark)
+        assert not list(tmp_path.iterdir())
+    finally:
+        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")
