@@ -299,25 +299,23 @@ def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int
     """
     drop = duplicate_lines(docs, edits, least).groupBy(F.col("_doc").alias("_d"), F.col("_hash").alias("_h"))
     drop = drop.agg(F.collect_set("pos").alias("_drop"))
-    own = keyed(docs)
-    same = own["_doc"].eqNullSafe(drop["_d"]) & (own["_hash"] == drop["_h"])
+    # the columns of the input travel in one struct, out of the way of the names used here
+    rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    held = docs.select(F.struct(*rest).alias("_row"), "text", F.col("doc_id").cast("string").alias("_doc"), F.xxhash64("doc_id", "text").alias("_hash"))
+    same = held["_doc"].eqNullSafe(drop["_d"]) & (held["_hash"] == drop["_h"])
     lines = F.split("text", "\n")
     whole = F.sequence(F.lit(0), F.size(lines) - 1)
     kept = F.array_join(F.transform(F.array_except(whole, "_drop"), lambda i: F.get(lines, i)), "\n")
-    joined = own.join(drop, same, "left")
-    out = joined.withColumns(
-        {
-            "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("bigint"),
-            "n_removed": F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint"),
-            "text": F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept),
-        }
-    )
-    out = out.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
+    joined = held.join(drop, same, "left").withColumn("_new", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept))
+    out = {c: F.col("_row")[c] for c in rest} | {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        fits = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(fits))
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return out.select(*rest, "n_lines", "n_removed")
+        fits = F.char_length("_new").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.col("_drop").isNull(), out["n_chars"]).otherwise(fits)
+    n_lines = F.greatest(F.coalesce(F.size(lines), F.lit(0)), F.lit(0)).cast("bigint")
+    return joined.select(
+        *[value.alias(c) for c, value in out.items()], n_lines.alias("n_lines"),
+        F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint").alias("n_removed"),
+    )
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -251,8 +251,12 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     docs = docs.select(*kept)
     has = F.coalesce(F.regexp_like(F.col(text), F.lit(PATTERN)), F.lit(False))
     clean = docs.where(~has).select(*kept, F.lit(0).cast("bigint").alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
-    ids = {"_doc": F.col("doc_id").cast("string"), "_hash": F.xxhash64("doc_id", text)}
-    found = mentions(docs.where(has).withColumns(ids), text)
+    # the columns of the input travel in one struct, out of the way of the names used here
+    held = docs.where(has).select(
+        F.struct(*kept).alias("_row"), F.col(text).alias("_text"), F.col("doc_id").cast("string").alias("_doc"),
+        F.xxhash64("doc_id", text).alias("_hash"),
+    )
+    found = mentions(held, "_text")
     spots = pin(
         found.dropDuplicates(["_doc", "_hash"])
         .select("_doc", "_hash", F.posexplode("_hits").alias("at", "hit")).select("_doc", "_hash", "at", "hit.*"),
@@ -266,7 +270,7 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     fills = F.concat(F.transform("_new", lambda x: x["new"]), F.array(F.lit("")))
     rebuilt = F.array_join(F.zip_with("_parts", fills, lambda p, n: F.concat(p, n)), "")
     changed = found.join(per_doc, same).select(
-        *[rebuilt.alias(text) if c == text else F.col(c) for c in kept], F.size("_new").cast("bigint").alias("n_entities"),
+        *[rebuilt.alias(text) if c == text else F.col("_row")[c].alias(c) for c in kept], F.size("_new").cast("bigint").alias("n_entities"),
         F.array_sort(F.array_distinct(F.transform("_new", lambda x: x["kind"]))).alias("kinds"),
     )
     return clean.unionByName(changed)
