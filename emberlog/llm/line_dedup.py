@@ -17,6 +17,7 @@ A line of at least ``MIN_CHARS`` characters goes if an earlier line of the corpu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -58,17 +59,28 @@ def probe_places(length: int, other: int, edits: int) -> list[tuple[int, int, in
     return found
 
 
+@lru_cache(maxsize=20_000)
+def cuts(length: int, edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(start, end, seed) of the substrings that a line of ``length`` characters posts and probes; the
+    seed tells lengths and segments apart."""
+    posted = [(p, p + size, length * 64 + i) for i, (p, size) in enumerate(segments(length, edits))]
+    probed = [
+        (p, p + size, other * 64 + i)
+        for other in range(max(edits + 1, length - edits), length + 1)
+        for i, p, size in probe_places(length, other, edits)
+    ]
+    return posted, probed
+
+
 def line_keys(line: str, edits: int) -> tuple[list[int], list[int]]:
     """Hashes under which a line is posted, and hashes that it probes."""
-    n = len(line)
-    key = lambda part, length, i: xxhash.xxh64_intdigest(part.encode("utf-8", "surrogatepass"), length * 64 + i)
-    posted = [key(line[p : p + size], n, i) for i, (p, size) in enumerate(segments(n, edits))]
-    probed = {
-        key(line[p : p + size], other, i)
-        for other in range(max(edits + 1, n - edits), n + 1)
-        for i, p, size in probe_places(n, other, edits)
-    }
-    return posted, list(probed)
+    key = xxhash.xxh64_intdigest
+    posted, probed = cuts(len(line), edits)
+    if line.isascii():
+        raw = line.encode()
+        return [key(raw[a:b], s) for a, b, s in posted], [key(raw[a:b], s) for a, b, s in probed]
+    code = lambda a, b: line[a:b].encode("utf-8", "surrogatepass")
+    return [key(code(a, b), s) for a, b, s in posted], [key(code(a, b), s) for a, b, s in probed]
 
 
 def within(a: str, b: str, edits: int) -> bool:
