@@ -54,6 +54,8 @@ def dense_position(
     placed = df.withColumns(
         {"_key": F.struct(*keys), "_block": F.when(placeless, failure).otherwise(block)}
     )
+    # never false; both sides of the join below then carry the same test and can share one exchange
+    placed = placed.where(F.col("_block").isNotNull())
     before = (
         Window.partitionBy("_key")
         .orderBy("_block")

@@ -179,3 +179,16 @@ def test_expected_windows_never_negative(spark):
     assert spark.range(391, 392).select(expected_windows(n)).first()[0] == 96
     assert spark.range(391, 392).select(expected_windows(n, 8, 8)).first()[0] == 48
     assert spark.range(391, 392).select(expected_windows(n, 3, 5)).first()[0] == 78
+
+
+def test_null_sources_keep_their_lines_and_null_orders_are_an_error(spark):
+    import pytest as _pytest
+
+    from emberlog.operators.ordinal import line_ordinal as ordinal
+
+    rows = [(None, i, "a") for i in range(20)] + [("s", i, "b") for i in range(20)]
+    placed = ordinal(spark.createDataFrame(rows, "source string, seq bigint, line string"))
+    found = sorted((r.source or "", r.pos) for r in placed.collect())
+    assert found == [("", i) for i in range(20)] + [("s", i) for i in range(20)]
+    with _pytest.raises(Exception, match="null in the order columns"):
+        ordinal(spark.createDataFrame([("s", None, "a")], "source string, seq bigint, line string")).collect()
