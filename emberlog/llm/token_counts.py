@@ -24,14 +24,14 @@ from functools import cache
 import pandas as pd
 import public_tokenizers
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from emberlog.llm.common import pin, table
 
 TOKENIZER = "word_bpe_49k.json"
-#: Pre-tokens whose numbers of pieces go to every task.
+#: At most so many pre-tokens' numbers of pieces go to every task.
 HEAD = 1 << 17
 #: Entries a task holds before it hands them on (counting) or forgets them (splitting).
 HELD = 300_000
@@ -133,6 +133,23 @@ def pretoken_pieces(docs: DataFrame, path: str) -> DataFrame:
     return distinct.withColumn("pieces", F.pandas_udf(sized, "int")("pretoken"))
 
 
+def rank_of(n: Column) -> Column:
+    """Frequencies in steps of an eighth of a doubling."""
+    return F.floor(F.log2(n) * 8).cast("int")
+
+
+def least_rank(pieces: DataFrame, head: int) -> int:
+    """The least rank from which on at most ``head`` pre-tokens are as frequent. A few hundred rows come to
+    the driver; nothing is sorted in one task."""
+    total, least = 0, 1 << 20
+    for r in pieces.groupBy(rank_of(F.col("n")).alias("rank")).count().orderBy(F.desc("rank")).collect():
+        total += r["count"]
+        if total > head:
+            break
+        least = r["rank"]
+    return least
+
+
 def count_tokens(docs: DataFrame, tokenizer: str | None = None, limit: int = 2048, head: int = HEAD) -> DataFrame:
     """(doc_id, text) -> doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens).
 
@@ -142,7 +159,7 @@ def count_tokens(docs: DataFrame, tokenizer: str | None = None, limit: int = 204
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     docs = docs.select("doc_id", "text")
     pieces = pin(pretoken_pieces(docs, path), "pretokens")
-    frequent = pieces.orderBy(F.desc("n"), "pretoken").limit(head).select("pretoken", "pieces").toPandas()
+    frequent = pieces.where(rank_of(F.col("n")) >= least_rank(pieces, head)).select("pretoken", "pieces").toPandas()
     shared = docs.sparkSession.sparkContext.broadcast(dict(zip(frequent["pretoken"], frequent["pieces"].tolist(), strict=True)))
 
     def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
