@@ -11,7 +11,7 @@
 4. Texts are rebuilt: the surrogate is poured back into the shape of each mention (separators, country code, capitals).
 
 So the same entity reads the same everywhere and different ones stay different. All of it is built-in
-functions. Most texts have no digit, @ or title at all; these are neither searched nor joined nor shuffled. An entity that a third of all documents
+functions. Most texts have no digit, @, key or title at all; these are neither searched nor joined nor shuffled. An entity that a third of all documents
 mention is one row of the table of entities; its mentions are narrow rows, whose skewed join adaptive
 execution splits.
 """
@@ -55,10 +55,12 @@ NAME = (
 )
 PATTERN = "|".join((EMAIL, KEY, VALUE, ACCOUNT, IP, SOCIAL, PHONE, CARD, NAME))
 
-#: Every entity has a digit, an @, or one of these parts of a title before it; all titles hold one.
+#: Every entity has a digit, an @, the head of a key, or one of these parts of a title before it; all titles hold one.
 STEMS = (
     "Mr", "Ms", "Mis", "Mad", "Frau", "Mme", "Señor", "Sr", "Doña", "Госпо", "Κυρία", "Κύριος", "Sir", "Herr", "Monsieur", "Dr", "Prof",
 )
+#: The rest of a key may be all letters.
+HEADS = ("AKIA", "ASIA", "gho_", "ghp_", "ghs_", "ghu_")
 #: A value behind a keyword may be all letters.
 KEYWORDS = ("password", "passwd", "pwd", "token", "secret", "api_key", "api-key", "apikey")
 
@@ -215,7 +217,8 @@ def suspected(text: Column) -> Column:
     keyword = text.contains("=") | text.contains(":")
     lower = F.lower(text)
     keyed = keyword & reduce(lambda a, b: a | b, [lower.contains(k) for k in KEYWORDS])
-    return F.coalesce(text.contains("@") | text.rlike("[0-9]") | titled | keyed, F.lit(False))
+    headed = reduce(lambda a, b: a | b, [text.contains(h) for h in HEADS])
+    return F.coalesce(text.contains("@") | text.rlike("[0-9]") | titled | headed | keyed, F.lit(False))
 
 
 def mentions(docs: DataFrame, text: str = "text") -> DataFrame:

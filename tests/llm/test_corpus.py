@@ -282,6 +282,19 @@ def test_rows_around_surrogates(rows):
     assert surrogates.with_surrogates(rows([]), "k").count() == 0
 
 
+def test_the_barest_matches_are_suspected(rows):
+    """Every alternative of the pattern, with as few other signs as it can have."""
+    keys = [h + "MDFHKXUVBLCCCCEQ" for h in ("AKIA", "ASIA")] + [f"gh{c}_" + "abcdefghijkl" * 3 for c in "opsu"]
+    words = ("password", "PASSWD", "pwd", "Token", "secret", "apikey", "api_key", "api-key")
+    values = [f"{w}{sep}abcdefgh" for w in words for sep in ("=", ": ", '":"')]
+    numbers = ["1.1.1.1", "1" * 13, "123-45-6789", "(123)4567890", "123.456.7890", "+12345", "AA11" + "AAAA" * 3]
+    titles = [t for group in (surrogates.FEMALE, surrogates.MALE, surrogates.OTHER) for t in group.split("|")]
+    texts = [f"use {k} for the bucket" for k in keys] + values + numbers + ["a@b.c"] + [f"{t} Ab" for t in titles]
+    got = replaced(rows, list(enumerate(texts)))
+    assert [t for i, t in enumerate(texts) if got[i]["n_entities"] != 1] == []
+    assert [t for i, t in enumerate(texts) if got[i]["text"] == t] == []
+
+
 def test_no_python_in_the_native_operators(spark):
     for build in (surrogates.op4_surrogates, url_rules.op7_url_filters, mixing.op10_mixing):
         plan = build(spark, SF)._jdf.queryExecution().executedPlan().toString()
