@@ -417,6 +417,28 @@ def test_mix(rows):
     assert all(copies[x["doc_id"]] == x["passes"] for x in got if x["doc_id"] not in (7, 8, 9, None))
 
 
+def test_small_sources_beside_a_hot_one(rows):
+    """Blocks of hundreds of words; sources of one block and less are filled to their targets all the same."""
+    sizes = {"a": 400, "b": 30000, "c": 310, None: 45, "d": 9000}
+    r = random.Random(6)
+    data = []
+    for source, left in sizes.items():
+        while left > 0:
+            n = min(left, r.randint(3, 30))
+            data.append((len(data), "w " * n, source))
+            left -= n
+    df = rows(data, "doc_id bigint, text string, source string", clash=True)
+    for slots in (64, 1500, 20_000):
+        got = mixing.mix_sources(df, slots=slots).collect()
+        copies = Counter(x["doc_id"] for x in mixing.mixed_documents(df, slots=slots).collect())
+        for source, size in sizes.items():
+            mine = [x for x in got if x["source"] == source]
+            target = mine[0]["target"]
+            assert all(x["taken"] <= 2 * x["size"] for x in mine)
+            assert abs(sum(x["taken"] for x in mine) - target) <= 1 + (0.01 * target if size >= 9000 else 6 * (slots == 20_000)), (slots, source)
+            assert abs(sum(copies[x["doc_id"]] * x["size"] for x in mine) - target) <= 31 + 0.01 * target, (slots, source)
+
+
 def test_nothing_to_mix(rows):
     schema = "doc_id bigint, text string, source string"
     assert mixing.mix_sources(rows([], schema)).count() == 0 and mixing.mixed_documents(rows([], schema)).count() == 0
