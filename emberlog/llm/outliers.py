@@ -5,9 +5,11 @@ source, the minimum-covariance-determinant estimate finds the centre and scatter
 documents that lie closest together, so junk does not pull the estimate towards itself. A document
 whose Mahalanobis distance from its group's estimate is beyond the cutoff is rejected.
 
-The estimate is the fixed point of concentration steps over *all* documents of the group: distances under the
-present estimate, their ``core`` quantile, mean and covariance of the documents below it. The start is the
-coordinate-wise median and spread. A step is two aggregates with map-side combine over the narrow table
+Concentration steps run over *all* documents of the group: distances under the present estimate, their ``core``
+quantile, mean and covariance of the documents below it. They start from the coordinate-wise median and from both
+quartiles, with the spread about the median, and go on until no determinant changes any more; the start with the
+least determinant is the group's estimate. With half of the documents as core, up to nearly half of a group may be junk.
+A step is two aggregates with map-side combine over the narrow table
 of vectors, and a small table of one row per group which numpy inverts where the row lies. Quantiles
 come from mergeable sketches; nothing of a group is ever gathered in one task.
 
@@ -33,7 +35,14 @@ FEATURES = ("f_length", "f_symbols", "f_signs", "f_upper", "f_digits", "f_repeat
 FLOOR = (0.06, 0.035, 0.05, 0.05, 0.12, 0.12)
 CORE = 0.75
 STEPS = 4
-LEAST = 100
+#: The core, starts (quantiles of each feature) and most steps of the quality rules; ``estimate`` alone takes the above and the median.
+HALF = 0.5
+STARTS = (0.5, 0.25, 0.75)
+MOST_STEPS = 60
+#: Change of a determinant's logarithm that counts as none: quantiles come from sketches.
+STILL = 1e-3
+#: Documents that six features need for an estimate of their own.
+LEAST = 40
 #: Chance of a distance beyond the cutoff if a group's core were normal and went on so: clean texts of
 #: natural language have heavier tails, so it is kept small.
 TAIL = 1e-9
@@ -183,57 +192,72 @@ def distance(features: tuple[str, ...]) -> Column:
 
 
 def inverted(moments: DataFrame, p: int, factor: float, floor: tuple[float, ...]) -> DataFrame:
-    """Moments per group -> grp, centre, inverse. One small matrix per row, inverted where the row lies."""
+    """Moments per group and start -> grp, start, centre, inverse, logdet. One small matrix per row, inverted where
+    the row lies."""
     upper = np.triu_indices(p)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for grp, n, sums, squares in zip(batch["grp"], batch["n"], batch["sums"], batch["squares"], strict=True):
+            for grp, start, n, sums, squares in zip(*(batch[c] for c in ("grp", "start", "n", "sums", "squares")), strict=True):
                 centre = np.array(sums) / n
                 cov = np.zeros((p, p))
                 cov[upper] = np.array(squares) / n
                 cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(centre, centre)
                 cov = factor * cov + np.diag(np.square(floor))
-                out.append((grp, centre.tolist(), np.linalg.inv(cov)[upper].tolist()))
-            yield pd.DataFrame(out, columns=["grp", "centre", "inverse"])
+                out.append((grp, start, centre.tolist(), np.linalg.inv(cov)[upper].tolist(), float(np.linalg.slogdet(cov)[1])))
+            yield pd.DataFrame(out, columns=["grp", "start", "centre", "inverse", "logdet"])
 
-    return moments.mapInPandas(run, "grp string, centre array<double>, inverse array<double>")
+    return moments.mapInPandas(run, "grp string, start int, centre array<double>, inverse array<double>, logdet double")
 
 
 def estimate(
-    rows: DataFrame, features: tuple[str, ...] = FEATURES, floor: tuple[float, ...] = FLOOR, core: float = CORE, steps: int = STEPS
+    rows: DataFrame,
+    features: tuple[str, ...] = FEATURES,
+    floor: tuple[float, ...] = FLOOR,
+    core: float = CORE,
+    steps: int = STEPS,
+    starts: tuple[float, ...] = (0.5,),
 ) -> DataFrame:
-    """rows: grp and the features. One row per group: grp, centre, inverse."""
+    """rows: grp and the features. One row per group: grp, centre, inverse, of the start with the least determinant
+    after ``steps`` steps or when all stand still."""
     p = len(features)
-    middle = [F.percentile_approx(f, 0.5, 10_000).alias(f"m_{f}") for f in features]
+    middle = [F.percentile_approx(f, [0.5, *starts], 10_000).alias(f"m_{f}") for f in features]
     medians = pin(rows.groupBy("grp").agg(*middle), "medians")
-    off = [F.percentile_approx(F.abs(F.col(f) - F.col(f"m_{f}")), 0.5, 10_000).alias(f"s_{f}") for f in features]
+    off = [F.percentile_approx(F.abs(F.col(f) - F.get(f"m_{f}", F.lit(0))), 0.5, 10_000).alias(f"s_{f}") for f in features]
     spreads = rows.join(medians, "grp").groupBy("grp").agg(*off, *[F.first(f"m_{f}").alias(f"m_{f}") for f in features])
     diagonal = [
         1 / (F.pow(F.col(f"s_{features[i]}") * 1.4826, F.lit(2.0)) + floor[i] ** 2) if i == j else F.lit(0.0)
         for i in range(p) for j in range(i, p)
     ]
-    centre = F.array(*[F.col(f"m_{f}") for f in features])
-    now = pin(spreads.select("grp", centre.alias("centre"), F.array(*diagonal).alias("inverse")), "estimate")
+    begun = spreads.withColumn("start", F.explode(F.array(*[F.lit(i) for i in range(1, len(starts) + 1)])))
+    centre = F.array(*[F.get(f"m_{f}", F.col("start")) for f in features])
+    first = begun.select("grp", "start", centre.alias("centre"), F.array(*diagonal).alias("inverse"))
+    now = pin(first.withColumn("logdet", F.lit(math.inf)), "estimate")
     sums = F.array(*[F.sum(f) for f in features]).alias("sums")
     squares = F.array(
         *[F.sum(F.col(features[i]) * F.col(features[j])) for i in range(p) for j in range(i, p)]
     ).alias("squares")
     for _ in range(steps):
         measured = rows.join(now, "grp").withColumn("d2", distance(features))
-        edge = pin(measured.groupBy("grp").agg(F.percentile_approx("d2", core, 10_000).alias("edge")), "edge")
-        inner = measured.join(edge, "grp").where(F.col("d2") <= F.col("edge"))
-        moments = inner.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), sums, squares)
-        now = pin(inverted(moments, p, consistency(core, p), floor), "estimate")
-    return now
+        edge = pin(measured.groupBy("grp", "start").agg(F.percentile_approx("d2", core, 10_000).alias("edge")), "edge")
+        inner = measured.join(edge, ["grp", "start"]).where(F.col("d2") <= F.col("edge"))
+        moments = inner.groupBy("grp", "start").agg(F.count(F.lit(1)).alias("n"), sums, squares)
+        last, now = now, pin(inverted(moments, p, consistency(core, p), floor), "estimate")
+        before = last.select("grp", "start", F.col("logdet").alias("_last"))
+        moved = now.join(before, ["grp", "start"]).where(F.abs(F.col("logdet") - F.col("_last")) > STILL)
+        if not moved.limit(1).count():
+            break
+    best = F.min_by(F.struct("centre", "inverse"), F.struct("logdet", "start"))
+    return now.groupBy("grp").agg(best.alias("_best")).select("grp", "_best.centre", "_best.inverse")
 
 
 def quality_rules(
     docs: DataFrame,
     least: int = LEAST,
-    core: float = CORE,
-    steps: int = STEPS,
+    core: float = HALF,
+    steps: int = MOST_STEPS,
+    starts: tuple[float, ...] = STARTS,
     tail: float = TAIL,
     min_words: int = 50,
     max_repeat: int = 50,
@@ -249,7 +273,7 @@ def quality_rules(
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     stats = pin(stats.withColumn("base_failed", failed).withColumns(vector_columns()), "statistics")
     rows = pin(with_groups(stats.where(~F.col("base_failed")), ("lang", "source"), least).select("doc_id", *COUNTS, "grp", *FEATURES), "vectors")
-    found = estimate(rows.select("grp", *FEATURES), core=core, steps=steps)
+    found = pin(estimate(rows.select("grp", *FEATURES), core=core, steps=steps, starts=starts), "found")
     cutoff = chi_square_quantile(1 - tail, len(FEATURES))
     judged = rows.join(found, "grp", "left").withColumn("distance", distance(FEATURES))
     out = ["doc_id", *COUNTS[:5], "base_failed", "kept", "distance"]

@@ -210,6 +210,20 @@ def test_base_rules_and_junk(spark, rows):
     assert got[2003]["kept"] and got[2000]["n_words"] == 0
 
 
+def test_a_source_with_a_third_and_with_nearly_half_of_junk(rows):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("aeioulmnrst") for _ in range(r.randint(2, 9)))
+    good = lambda: " ".join(word() for _ in range(r.randint(60, 200))) + "."
+    junk = lambda: " ".join(word() + "###" for _ in range(80))
+    data = []
+    for source, n, bad in (("third", 134, 66), ("half", 110, 90), ("small", 30, 15)):
+        data += [(len(data) + i, (good if i < n else junk)(), "en", source) for i in range(n + bad)]
+    docs = rows(data, "doc_id bigint, text string, lang string, source string")
+    kept = {x["doc_id"]: x["kept"] for x in outliers.quality_rules(docs).collect()}
+    wrong = [(d[3], "###" in d[1]) for d in data if kept[d[0]] == ("###" in d[1])]
+    assert not any(bad for _, bad in wrong) and len(wrong) <= 3, wrong
+
+
 def test_no_documents(rows):
     docs = rows([], "doc_id bigint, text string, lang string, source string")
     assert outliers.quality_rules(docs).count() == 0
