@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
 A line of at least ``MIN_CHARS`` characters goes if an earlier line of the corpus is equal to it or within
-``MAX_EDITS`` edits of it; earlier is by document id (null first), document hash and place. Shorter and blank lines stay.
+``MAX_EDITS`` edits of it; earlier is by document id (null first), document hash and place. A shorter line goes, where
+``shortest`` says so, if an earlier line is equal to it; that takes digests only, no edit join. Blank lines stay.
 
 * A line is split into ``MAX_EDITS + 1`` segments. Two lines within the edits agree in a segment of the
   shorter one, at a place of the longer one that the edits before and behind it allow. So each line is
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import pin, table
+from emberlog.llm.common import SPACE, pin, table
 
 MAX_EDITS = 2
 MIN_CHARS = 20
@@ -235,11 +236,12 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_doc": F.col("doc_id").cast("string"), "_hash": F.xxhash64("doc_id", "text")})
 
 
-def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, text) -> rows (_doc, _hash, pos): the lines that go."""
+def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, text) -> rows (_doc, _hash, pos): the lines that go; below ``least`` characters only exact repeats."""
     docs = keyed(docs.select("doc_id", "text"))
     lines = docs.select("doc_id", "_doc", "_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.where(F.char_length("line") >= least)
+    short = (F.char_length("line") >= shortest) & F.col("line").rlike(f"[^{SPACE}]")
+    lines = lines.where((F.char_length("line") >= least) | short)
     spots = lines.select(
         F.unhex(F.md5("line")).alias("digest"), F.xxhash64("line").alias("lid"), F.struct("doc_id", "_hash", "pos").alias("spot"), "_doc"
     )
@@ -300,7 +302,7 @@ def rest_of(crowded: DataFrame, firsts: DataFrame, gone: DataFrame, pairs: DataF
     return pin(found.distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
 
 
-def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:
     """``docs`` without the lines that go, with ``n_lines`` (before) and ``n_removed``; other columns as given,
     ``n_chars``, if there, made to fit.
 
@@ -309,7 +311,7 @@ def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int
     copy's lines stay in all of them; null ids come first in order. An empty table gives an empty result.
     Columns of the input that bear a name of the result are replaced.
     """
-    drop = duplicate_lines(docs, edits, least).groupBy(F.col("_doc").alias("_d"), F.col("_hash").alias("_h"))
+    drop = duplicate_lines(docs, edits, least, shortest).groupBy(F.col("_doc").alias("_d"), F.col("_hash").alias("_h"))
     drop = drop.agg(F.collect_set("pos").alias("_drop"))
     # the columns of the input travel in one struct, out of the way of the names used here
     rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
@@ -332,4 +334,4 @@ def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier line makes superfluous."""
-    return without_duplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return without_duplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), shortest=1)

@@ -214,6 +214,15 @@ def test_lines_are_those_of_brute_force(rows, monkeypatch, few):
     assert {x["doc_id"]: x["text"] for x in got} == lines_by_brute_force(data)
 
 
+def test_short_lines_are_compared_exactly(rows, spark):
+    line = "the very same line of text"
+    df = rows([(1, f"Log in\nx\n\n{line}"), (2, f"Log in\nLog on\n\n \n{line}."), (3, "x\n \nlog in"), (4, None)])
+    got = {x["doc_id"]: x["text"] for x in line_dedup.without_duplicate_lines(df, shortest=1).collect()}
+    assert got == {1: f"Log in\nx\n\n{line}", 2: "Log on\n\n ", 3: " \nlog in", 4: None}
+    lines = [s for x in line_dedup.op5_line_dedup(spark, SF).collect() for s in x["text"].split("\n") if s.strip(" \t\n\x0b\f\r")]
+    assert len(lines) == len(set(lines))
+
+
 def test_rows_around_line_dedup(rows):
     line = "the very same line of text"
     df = rows([(None, line), (1, line), (1, line), (2, f"x\n{line}\nx"), (3, None)])
