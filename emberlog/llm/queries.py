@@ -10,6 +10,7 @@ from emberlog.llm import (
     neighbours,
     outliers,
     pieces,
+    ranked_search,
     surrogates,
     token_counts,
     url_rules,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_outliers": outliers.op9_outliers,
     "op10_mixing": mixing.op10_mixing,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
 }
 
 ORACLES = {
     "op7_url_filters": url_rules.OP7_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op12_ranked_search": ranked_search.OP12_SQL,
 }
