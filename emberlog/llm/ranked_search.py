@@ -94,6 +94,8 @@ def postings(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
                 lengths.append(len(words))
                 terms.append(np.array([number[t] for t in counts], dtype=np.int32))
                 tfs.append(np.array(list(counts.values()), dtype=np.int32))
+            if not kept:
+                continue
             ids = batch.iloc[kept]
             yield pd.DataFrame(
                 {"known": ids["known"].to_numpy(), "doc_id": ids["doc_id"].to_numpy(), "n": lengths, "terms": terms, "tfs": tfs}
@@ -177,7 +179,7 @@ def search_block(indexed: DataFrame, held: list[Item], weights: np.ndarray, k: i
     shared = indexed.sparkSession.sparkContext.broadcast([(i.terms, weights[i.terms]) for i in held])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        def answer(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
             # null ids come first among equal scores
             keys = np.lexsort((rows["doc_id"].to_numpy(), rows["known"].to_numpy()))
             place = np.empty(len(rows), np.int64)
@@ -186,25 +188,23 @@ def search_block(indexed: DataFrame, held: list[Item], weights: np.ndarray, k: i
             sizes = rows["terms"].map(len).to_numpy(dtype=np.int64)
             doc = np.repeat(np.arange(len(rows)), sizes)
             index = Shard(m, doc, np.concatenate(rows["terms"].to_numpy()).astype(np.int64), np.concatenate(rows["tfs"].to_numpy()))
-            out = []
             for number, (terms, w) in enumerate(shared.value):
                 docs, scores = index.best(terms, w, place, k)
                 if len(docs):
                     chosen = rows.iloc[docs]
-                    out.append(
-                        pd.DataFrame({"item": number, "known": chosen["known"].to_numpy(), "doc_id": chosen["doc_id"].to_numpy(), "score": scores})
+                    yield pd.DataFrame(
+                        {"item": number, "known": chosen["known"].to_numpy(), "doc_id": chosen["doc_id"].to_numpy(), "score": scores}
                     )
-            return pd.concat(out) if out else pd.DataFrame({"item": [], "known": [], "doc_id": [], "score": []})
 
         waiting, size = [], 0
         for batch in batches:
             waiting.append(batch)
             size += int(batch["terms"].map(len).sum())
             if size >= shard:
-                yield answer(pd.concat(waiting, ignore_index=True))
+                yield from answer(pd.concat(waiting, ignore_index=True))
                 waiting, size = [], 0
         if waiting:
-            yield answer(pd.concat(waiting, ignore_index=True))
+            yield from answer(pd.concat(waiting, ignore_index=True))
 
     return indexed.mapInPandas(run, "item int, known boolean, doc_id bigint, score bigint")
 
