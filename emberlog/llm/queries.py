@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from emberlog.llm import (
+    conversations,
     gam,
     line_dedup,
     mixing,
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_outliers": outliers.op9_outliers,
     "op10_mixing": mixing.op10_mixing,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_ranked_search": ranked_search.op12_ranked_search,
 }
 
 ORACLES = {
     "op7_url_filters": url_rules.OP7_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_conversation_repair": conversations.OP11_SQL,
     "op12_ranked_search": ranked_search.OP12_SQL,
 }
