@@ -14,6 +14,7 @@ from emberlog.llm import (
     ranked_search,
     surrogates,
     token_counts,
+    toxicity,
     url_rules,
 )
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 ORACLES = {

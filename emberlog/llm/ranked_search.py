@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import pin, table
+from emberlog.llm.common import pin, ranges, table, terms_of
 
 BEST = 50
 #: Bytes of item texts that one block of items holds at most, apart from a single longer item.
@@ -42,15 +42,6 @@ SLOTS = 64
 #: Documents of the strata that an item visits first.
 FIRST_VISIT = 256
 
-#: For bytes.translate: A to Z in lower case; digits, letters and all bytes of characters beyond ASCII as they are.
-TERM_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
-
-
-def terms_of(text: str | None) -> list[bytes]:
-    """All terms of a text, in order, only A to Z lower-cased; none for null."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(TERM_BYTES).split()
-
-
 @dataclass
 class Item:
     """A query: its distinct terms as numbers of the block's vocabulary."""
@@ -111,12 +102,6 @@ def weight(documents: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * df + 1)))
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges [start, start + size), one range after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
-
-
 class Shard:
     """The postings of some documents, by term, stratum and frequency."""
 
