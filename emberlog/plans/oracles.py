@@ -229,6 +229,40 @@ cte(
       SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY source, win) AS place
       FROM windows) WHERE place = 1""",
 )
+
+#: Sources stop early here, the first one after an eighth of the events.
+cte(
+    "early",
+    ["kept"],
+    """
+    SELECT k.source, e.ts::TIMESTAMP AS ts
+    FROM kept k JOIN events e ON k.seq = e.event_id,
+      (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
+    WHERE (e.event_id - low) / (high - low + 1) <= (k.source::BIGINT + 1) / 8""",
+)
+#: The windows come in runs of one hour each, those of two sources in three one or two runs late.
+cte(
+    "late_feed",
+    ["windows"],
+    """
+    SELECT source, source || '/' || incident_id AS incident_id, hour, hour + source::BIGINT % 3 AS run
+    FROM (SELECT *, (win * 5 // (max(win) OVER () + 1))::BIGINT AS hour FROM windows)""",
+)
+#: Rows of ``late_feed`` that were not behind the watermark, with the latest hour of earlier runs.
+cte(
+    "late_marks",
+    ["late_feed"],
+    "SELECT run, max(max(hour)) OVER (ORDER BY run) AS latest FROM late_feed GROUP BY run",
+)
+cte(
+    "late_facts",
+    ["late_feed", "late_marks"],
+    """
+    SELECT f.*, before, coalesce(hour <= before - 1, false) AS late
+    FROM late_feed f JOIN (
+      SELECT r.run, max(m.latest) AS before FROM late_marks r LEFT JOIN late_marks m ON m.run < r.run GROUP BY r.run
+    ) USING (run)""",
+)
 cte("all_labelled", ["windows"], labelled_body("windows"))
 cte("labelled", ["incidents"], labelled_body("incidents"))
 

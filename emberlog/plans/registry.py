@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from emberlog.plans import oracles as Q
 from emberlog.session import pin, stage_path
 from emberlog.sources import files, rendered
 from emberlog.streaming import lines as stream_ops
+from emberlog.streaming import windows as stream_win
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1113,21 +1115,26 @@ def event_stream(spark, sf):
 def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
     """Run a stream into files until nothing is left, and read them back."""
     path = stage_path(spark, name)
-    stream_ops.run_available(stream_ops.to_files(stream, path), path + "-checkpoint")
+    stream_ops.run_available(stream_win.to_files(stream, path), path + "-checkpoint")
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def _window_files(spark, sf, parts: int = 3) -> str:
-    """Windows of the events in several micro-batches; the stream stops and starts again in between."""
+def _window_files(spark, sf, parts: int = 3, until=None, **how) -> str:
+    """Windows of the events in several micro-batches; the stream stops and starts again in between.
+
+    ``until`` may leave out events by their place in the table, from 0 to 1.
+    """
     path, feed = stage_path(spark, "windows"), stage_path(spark, "events")
     events = rendered.table(spark, sf, "events")
     low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
     part = F.least(F.floor((F.col("event_id") - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    if until is not None:
+        events = events.where(until((F.col("event_id") - low) / (high - low + 1)))
     for i in range(parts):
         events.where(part == i).write.parquet(f"{feed}/part={i}")
         read = spark.readStream.schema(events.schema).parquet(f"{feed}/part=*")
         cleaned = stream_ops.stream_clean(rendered.lines_of_events(read, "ts"))
-        writer = stream_ops.stream_windows(cleaned, path, path + "-state")
+        writer = stream_win.to_files(stream_win.stream_windows(cleaned, **how), path)
         stream_ops.run_available(writer, path + "-checkpoint")
     return path
 
@@ -1145,24 +1152,101 @@ def _(spark, sf):
     "wl",
 )
 def _(spark, sf):
-    found = stream_ops.read_windows(spark, _window_files(spark, sf))
+    found = stream_win.read_windows(spark, _window_files(spark, sf))
     return found.select("source", "win", F.array_join("members.normalized", "|").alias("body"))
 
 
+@query(
+    "stream_windows_expiry",
+    """SELECT source, count(*) AS lines, count(*) - 4 * greatest((count(*) - 8) // 4 + 1, 0) AS open, max(ts) AS ts
+       FROM early GROUP BY source
+       HAVING max(ts) + to_microseconds((SELECT (epoch_us(max(ts)) - epoch_us(min(ts))) // 4 FROM events))
+         < (SELECT max(ts) FROM early) - INTERVAL 1 SECOND""",
+    "early",
+)
+def _(spark, sf):
+    """Sources that fall silent leave the state of the windows, and are reported with what they leave behind."""
+    times = rendered.table(spark, sf, "events").agg(
+        F.unix_micros(F.min("ts").cast("timestamp")).alias("a"), F.unix_micros(F.max("ts").cast("timestamp")).alias("b")
+    ).first()
+    path = _window_files(
+        spark, sf, until=lambda place: place <= (F.col("user_id") % 8 + 1) / 8,
+        idle=f"{(times['b'] - times['a']) // 4} microseconds", delay="1 second",
+    )
+    return stream_win.expired_sources(spark, path)
+
+
 @query("stream_dedup", "SELECT DISTINCT incident_id, service FROM windows", "windows")
 def _(spark, sf):
     # the delay covers all events of the table, so that the result is that of the whole
-    found = stream_ops.windows_stream(spark, _window_files(spark, sf))
+    found = stream_win.windows_stream(spark, _window_files(spark, sf))
     once = stream_ops.stream_dedup(stream_ops.stream_incidents(found), delay="36500 days")
     return _drain(spark, once, "dedup").select("incident_id", "service")
 
 
+HOURS = 5
+
+
+def _late_runs(spark, sf) -> tuple[DataFrame, list[DataFrame]]:
+    """What the dedup lets through of windows that come in runs of one hour each, those of two sources in three one or
+    two runs late, with a delay of one hour; and the state's changes in each run."""
+    path, feed = stage_path(spark, "late"), stage_path(spark, "late-feed")
+    found = all_incidents(spark, sf).select("source", "win", "incident_id")
+    last = found.agg(F.max("win").alias("last"))
+    hour = F.floor(F.col("win") * HOURS / (F.col("last") + 1))
+    rows = pin(
+        found.join(F.broadcast(last)).select(
+            "source", F.concat_ws("/", "source", "incident_id").alias("incident_id"), hour.alias("hour"),
+            (hour + F.col("source").cast("bigint") % 3).alias("run"), F.timestamp_seconds(3600 * (hour + 1)).alias("ts"),
+        ),
+        "late-rows",
+    )
+    changes = []
+    for run in range(HOURS + 2):
+        rows.where(F.col("run") == run).write.parquet(f"{feed}/run={run}")
+        incoming = spark.readStream.schema(rows.schema).parquet(f"{feed}/run=*")
+        writer = stream_win.to_files(stream_ops.stream_dedup(incoming, delay="1 hour"), path)
+        progress = stream_ops.run_available(writer, path + "-checkpoint")
+        changes.append(stream_ops.state_changes(spark, progress).withColumn("run", F.lit(run).cast("bigint")))
+    return spark.read.schema(rows.schema).parquet(path), changes
+
+
+@query(
+    "stream_dedup_expiry",
+    """SELECT * FROM (
+         WITH RECURSIVE told AS (
+           SELECT source, incident_id, min(hour) AS hour FROM late_facts WHERE NOT late GROUP BY source, incident_id
+           UNION ALL
+           SELECT t.source, t.incident_id, min(f.hour) AS hour
+           FROM told t JOIN late_facts f ON f.incident_id = t.incident_id
+           WHERE NOT f.late AND f.hour > t.hour AND t.hour + 1 <= f.before - 1
+           GROUP BY t.source, t.incident_id, t.hour
+         )
+         SELECT source, incident_id, hour FROM told)""",
+    "late_facts",
+)
+def _(spark, sf):
+    """Ids come back once the watermark has passed them by the delay; late rows do not come at all."""
+    return _late_runs(spark, sf)[0].select("source", "incident_id", "hour")
+
+
+@query(
+    "stream_late_rows",
+    "SELECT run, count(*) AS rows, count_if(late) AS late FROM late_facts GROUP BY run",
+    "late_facts",
+)
+def _(spark, sf):
+    """Rows that each run read, and those it dropped behind the watermark, as the query's progress has them."""
+    changes = reduce(DataFrame.unionByName, _late_runs(spark, sf)[1])
+    return changes.groupBy("run").agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"))
+
+
 @query(
     "stream_triage",
     "SELECT source, win, severity, likely_cause, recommended_action FROM all_labelled",
     "all_labelled",
 )
 def _(spark, sf):
-    found = stream_ops.windows_stream(spark, _window_files(spark, sf))
+    found = stream_win.windows_stream(spark, _window_files(spark, sf))
     answers = stream_ops.stream_triage(stream_ops.stream_incidents(found))
     return _drain(spark, answers.select("source", "win", *vocab.FIELDS), "triage")

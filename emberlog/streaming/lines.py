@@ -1,25 +1,22 @@
-"""Log lines as a stream: cleaning, count windows, dedup and triage.
+"""Log lines as a stream: cleaning, dedup and triage, and running streams to the end of their input.
 
-The column code is the batch code. Cleaning and triage are stateless; windows keep their state as
-small tables, so that a micro-batch is ranked and cut by the same skew-proof batch operators.
+The column code is the batch code. Cleaning and triage are stateless; windows (``streaming.windows``) and dedup
+keep their state in Spark's state store.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from emberlog.operators.incidents import build_incidents
 from emberlog.operators.labelling import label_columns
 from emberlog.operators.lines import informative_lines
-from emberlog.operators.ordinal import line_ordinal
 from emberlog.operators.repair import triage
-from emberlog.operators.windows import expected_windows, sliding_windows
 
 LINE_FIELDS = ["normalized", "level", "component"]
-#: What a line of a stream carries besides; null where the input has no event time.
-EVENT_TIME = "ts"
 
 
 def stream_clean(lines: DataFrame) -> DataFrame:
@@ -28,148 +25,19 @@ def stream_clean(lines: DataFrame) -> DataFrame:
     return informative_lines(lines).select("source", "seq", *carried, *LINE_FIELDS)
 
 
-class WindowState:
-    """Where each source stands: its next position, and the lines of windows still open.
-
-    Every micro-batch writes both tables to the shared folder, into one of two slots by turns. A
-    batch that runs again after a failure finds its predecessor's slot untouched and overwrites its
-    own, so the outcome is the same and the state never grows with the number of batches.
-    """
-
-    POSITIONS = "source string, next_pos bigint"
-    LINES = (
-        "source string, pos bigint, normalized string, level string, component string, ts timestamp"
-    )
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def slot(self, batch_id: int, part: str) -> str:
-        return f"{self.path}/{part}/slot={batch_id % 2}"
-
-    def read(self, batch_id: int, part: str, schema: str) -> DataFrame:
-        """The table that batch ``batch_id`` left behind; empty before the first batch."""
-        if batch_id < 0:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.slot(batch_id, part))
-
-    def write(self, df: DataFrame, batch_id: int, part: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.slot(batch_id, part))
-        return self.read(batch_id, part, df.schema)
-
-
-def advance_windows(
-    batch: DataFrame, batch_id: int, state: WindowState, out: str, size: int, stride: int
-) -> None:
-    """Position one micro-batch behind the earlier ones, write the windows it completes, and carry
-    the lines that an open window still needs (fewer than ``size`` per source).
-
-    Lines of one batch are ordered by ``seq``. A line that arrives in a later batch comes later,
-    whatever its ``seq``: a written window is never reopened.
-
-    The windows are published last and at once, by renaming a hidden folder. A batch that is
-    already published does nothing when it runs again, so what reads the windows as a stream sees
-    each of them once.
-    """
-    final = f"{out}/batch={batch_id}"
-    if exists(state.spark, final):
-        return
-    if EVENT_TIME not in batch.columns:
-        batch = batch.withColumn(EVENT_TIME, F.lit(None).cast("timestamp"))
-    fields = [*LINE_FIELDS, EVENT_TIME]
-    seen = state.read(batch_id - 1, "positions", WindowState.POSITIONS)
-    placed = line_ordinal(
-        batch.select("source", "seq", *fields),
-        starts=seen.withColumnRenamed("next_pos", "start"),
-    )
-    carried = state.read(batch_id - 1, "open", WindowState.LINES)
-    lines = state.write(
-        carried.unionByName(placed.select("source", "pos", *fields)), batch_id, "lines"
-    )
-    reach = lines.groupBy("source").agg((F.max("pos") + 1).alias("next_pos"))
-    positions = state.write(
-        seen.unionByName(reach).groupBy("source").agg(F.max("next_pos").alias("next_pos")),
-        batch_id,
-        "positions",
-    )
-    # the first window that is not full yet starts here
-    open_from = expected_windows(F.col("next_pos"), size, stride) * stride
-    wanted = positions.where(open_from < F.col("next_pos")).select(
-        "source", F.explode(F.sequence(open_from, F.col("next_pos") - 1)).alias("pos")
-    )
-    # joined on (source, pos): unique, so a hot source does not gather in one task
-    still_open = lines.join(wanted, ["source", "pos"])
-    state.write(still_open.select("source", "pos", *fields), batch_id, "open")
-    staged = f"{out}/_batch-{batch_id}"
-    timed_windows(lines, size, stride).write.mode("overwrite").parquet(staged)
-    publish(state.spark, staged, final)
-
-
-def timed_windows(lines: DataFrame, size: int, stride: int) -> DataFrame:
-    """Windows with ``ts``, the latest event time of their lines."""
-    found = sliding_windows(lines, size, stride, fields=("pos", *LINE_FIELDS, EVENT_TIME))
-    member = lambda m: F.struct(*[m[c].alias(c) for c in ("pos", *LINE_FIELDS)])
-    return found.withColumn(
-        EVENT_TIME, F.array_max(F.transform("members", lambda m: m[EVENT_TIME]))
-    ).withColumn("members", F.transform("members", member))
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, where = _file_system(spark, path)
-    return files.exists(where)
-
-
-def publish(spark: SparkSession, staged: str, final: str) -> None:
-    """Give a finished folder its name, in one step."""
-    files, where = _file_system(spark, staged)
-    if not files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(final)):
-        raise RuntimeError(f"cannot publish {final}")
-
-
-def stream_windows(
-    cleaned: DataFrame, out: str, state_path: str, size: int = 8, stride: int = 4
-) -> DataStreamWriter:
-    """A writer that turns a stream of cleaned lines into full windows under ``out``.
-
-    Set ``checkpointLocation`` and a trigger on it and start it; read with ``read_windows``.
-    """
-    state = WindowState(cleaned.sparkSession, state_path)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        advance_windows(batch, batch_id, state, out.rstrip("/"), size, stride)
-
-    return cleaned.writeStream.foreachBatch(step)
-
-
-def read_windows(spark: SparkSession, out: str) -> DataFrame:
-    schema = (
-        "source string, win bigint, members array<struct<pos: bigint, normalized: string, "
-        "level: string, component: string>>, ts timestamp"
-    )
-    return spark.read.schema(schema).parquet(out).select("source", "win", "members", EVENT_TIME)
-
-
-def windows_stream(spark: SparkSession, out: str) -> DataFrame:
-    """The windows under ``out`` as a stream of its own."""
-    schema = read_windows(spark, out).schema
-    return spark.readStream.schema(schema).parquet(f"{out.rstrip('/')}/batch=*")
-
-
 def stream_incidents(windows: DataFrame) -> DataFrame:
     """Incidents of a stream of windows; stateless, repeats included."""
     return build_incidents(windows, dedup=False)
 
 
 def stream_dedup(incidents: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """Drop repeats of an id within the watermark. Ids older than that are forgotten, unlike in the
-    batch dedup, which keeps state bounded; rows that lag behind by more than ``delay`` are lost,
-    so it must cover the slowest source."""
+    """Drop repeats of an id within the watermark.
+
+    An id is forgotten once the watermark, which trails the latest event time by ``delay``, reaches the event time
+    that it was first seen with, plus ``delay``; then it may come back. That bounds the state, unlike in the batch
+    dedup. Rows at or behind the watermark are lost, so ``delay`` must cover the slowest source;
+    ``state_changes`` tells how many were, and how many ids were forgotten.
+    """
     return incidents.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["incident_id"])
 
 
@@ -181,13 +49,28 @@ def stream_triage(incidents: DataFrame) -> DataFrame:
     return label_columns(incidents)
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Process everything that is there now, then stop."""
+def run_available(writer: DataStreamWriter, checkpoint: str) -> list[dict]:
+    """Process everything that is there now, then stop; what the query reported of its micro-batches."""
     started = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     started.awaitTermination()
-
-
-def to_files(stream: DataFrame, path: str) -> DataStreamWriter:
-    return stream.writeStream.format("parquet").option("path", path)
-
-
+    return started.recentProgress
+
+
+CHANGES = "batch bigint, rows bigint, late bigint, forgotten bigint, held bigint, watermark timestamp"
+
+
+def state_changes(spark: SparkSession, progress: Iterable[dict]) -> DataFrame:
+    """(``CHANGES``) per reported micro-batch, summed over its stateful operators: rows read, rows dropped behind the
+    watermark, state rows removed by it, state rows held afterwards."""
+    rows = []
+    for report in progress:
+        state = report["stateOperators"]
+        watermark = (report.get("eventTime") or {}).get("watermark")
+        rows.append(
+            (
+                report["batchId"], report["numInputRows"], sum(s["numRowsDroppedByWatermark"] for s in state),
+                sum(s["numRowsRemoved"] for s in state), sum(s["numRowsTotal"] for s in state), watermark,
+            )
+        )
+    found = spark.createDataFrame(rows, CHANGES.replace("watermark timestamp", "watermark string"))
+    return found.withColumn("watermark", found["watermark"].cast("timestamp"))

@@ -1,3 +1,6 @@
+import shutil
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +9,7 @@ from emberlog.plans import flows
 from emberlog.operators.lines import informative_lines
 from emberlog.operators.windows import sliding_windows
 from emberlog.streaming import lines as S
+from emberlog.streaming import windows as W
 
 
 def log_rows(n, start=0):
@@ -28,11 +32,9 @@ def stream(spark, folder):
     return spark.readStream.schema(vocab.LINE_SCHEMA).parquet(f"{folder}/in/part=*")
 
 
-def advance(spark, folder, size, stride):
-    writer = S.stream_windows(
-        S.stream_clean(stream(spark, folder)), f"{folder}/out", f"{folder}/state", size, stride
-    )
-    S.run_available(writer, f"{folder}/checkpoint")
+def advance(spark, folder, size, stride, checkpoint="checkpoint", **how):
+    windows = W.stream_windows(S.stream_clean(stream(spark, folder)), size, stride, **how)
+    return S.run_available(W.to_files(windows, f"{folder}/out"), f"{folder}/{checkpoint}")
 
 
 def cut(df):
@@ -49,40 +51,100 @@ def test_windows_over_several_batches(spark, tmp_path, size, stride):
         feed(spark, folder, number, rows)
         advance(spark, folder, size, stride)  # restarts from the checkpoint each time
         batch = flows.lines_to_windows(spark.createDataFrame(seen, vocab.LINE_SCHEMA), size, stride)
-        assert cut(S.read_windows(spark, f"{folder}/out")) == cut(batch)
-    state = S.WindowState(spark, f"{folder}/state")
-    open_lines = state.read(len(chunks) - 1, "open", S.WindowState.LINES)
-    assert open_lines.groupBy("source").count().where(F.col("count") >= size).count() == 0
+        assert cut(W.read_windows(spark, f"{folder}/out")) == cut(batch)
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    state = S.WindowState(spark, str(tmp_path / "state"))
-    out = str(tmp_path / "out")
-    batches = [
-        S.stream_clean(spark.createDataFrame(rows, vocab.LINE_SCHEMA))
-        for rows in (log_rows(40), log_rows(30, 40), log_rows(20, 70))
-    ]
-    S.advance_windows(batches[0], 0, state, out, 8, 4)
-    S.advance_windows(batches[1], 1, state, out, 8, 4)
-    once = cut(S.read_windows(spark, out))
-    S.advance_windows(batches[1], 1, state, out, 8, 4)
-    assert cut(S.read_windows(spark, out)) == once
-    # what reads the windows as a stream sees no window twice
-    seen = S.windows_stream(spark, out).select("source", "win")
-    S.run_available(S.to_files(seen, str(tmp_path / "seen")), str(tmp_path / "seen-checkpoint"))
-    S.advance_windows(batches[1], 1, state, out, 8, 4)
-    S.run_available(S.to_files(seen, str(tmp_path / "seen")), str(tmp_path / "seen-checkpoint"))
-    assert spark.read.schema(seen.schema).parquet(str(tmp_path / "seen")).count() == len(once)
-    S.advance_windows(batches[2], 2, state, out, 8, 4)
+    """A micro-batch whose end was never noted runs again, on the state that it started from."""
+    folder = str(tmp_path)
+    feed(spark, folder, 0, log_rows(40))
+    advance(spark, folder, 8, 4)
+    feed(spark, folder, 1, log_rows(30, 40))
+    advance(spark, folder, 8, 4)
+    once = cut(W.read_windows(spark, f"{folder}/out"))
+    last = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit())
+    lost = lambda where, names: [n for n in names if where.endswith("commits") and str(last) in n]
+    shutil.copytree(tmp_path / "checkpoint", tmp_path / "crashed", ignore=lost)
+    advance(spark, folder, 8, 4, "crashed")
+    assert cut(W.read_windows(spark, f"{folder}/out")) == once
+    # what reads the windows as a stream sees no window twice either
+    seen = W.windows_stream(spark, f"{folder}/out").select("source", "win")
+    S.run_available(W.to_files(seen, f"{folder}/seen"), f"{folder}/seen-checkpoint")
+    assert spark.read.schema(seen.schema).parquet(f"{folder}/seen").count() == len(once)
+    feed(spark, folder, 2, log_rows(20, 70))
+    advance(spark, folder, 8, 4, "crashed")
     whole = flows.lines_to_windows(spark.createDataFrame(log_rows(90), vocab.LINE_SCHEMA))
-    assert cut(S.read_windows(spark, out)) == cut(whole)
+    assert cut(W.read_windows(spark, f"{folder}/out")) == cut(whole)
+
+
+TIMED = vocab.LINE_SCHEMA + ", ts timestamp"
+
+
+def timed_feed(spark, folder, number, rows):
+    given = [(source, seq, f"WARN x.y: event {seq % 3} slow", datetime(2024, 1, 1) + timedelta(seconds=at)) for source, seq, at in rows]
+    spark.createDataFrame(given, TIMED).write.parquet(f"{folder}/in/part={number}")
+
+
+def timed_run(spark, folder, **how):
+    lines = spark.readStream.schema(TIMED).parquet(f"{folder}/in/part=*")
+    windows = W.stream_windows(S.stream_clean(lines), 4, 2, **how)
+    return S.state_changes(spark, S.run_available(W.to_files(windows, f"{folder}/out"), f"{folder}/checkpoint"))
+
+
+def test_silent_sources_leave_the_state(spark, tmp_path):
+    folder, how = str(tmp_path), {"idle": "30 seconds", "delay": "5 seconds"}
+    timed_feed(spark, folder, 0, [(None, i, i) for i in range(7)] + [("b", i, i) for i in range(3)])
+    held = timed_run(spark, folder, **how).orderBy("batch").collect()
+    assert [r.forgotten for r in held] == [0] * len(held) and held[-1].held > 0
+    assert W.expired_sources(spark, f"{folder}/out").count() == 0
+    timed_feed(spark, folder, 1, [("c", 100 + i, 50 + i) for i in range(6)])  # the watermark moves to 50
+    gone = timed_run(spark, folder, **how).collect()
+    assert sum(r.forgotten for r in gone) > 0
+    got = {(r.source, r.lines, r.open, r.ts.second) for r in W.expired_sources(spark, f"{folder}/out").collect()}
+    # 7 lines make windows from 0 and 2; the lines from 4 on stay open
+    assert got == {(None, 7, 3, 6), ("b", 3, 3, 2)}
+    timed_feed(spark, folder, 2, [("b", 200 + i, 60 + i) for i in range(4)] + [("d", 0, 49)])  # b is back, d is late
+    back = timed_run(spark, folder, **how).collect()
+    assert sum(r.late for r in back) == 1
+    windows = {(r.source, r.win, tuple(m.pos for m in r.members)) for r in W.read_windows(spark, f"{folder}/out").collect()}
+    assert windows == {
+        (None, 0, (0, 1, 2, 3)), (None, 1, (2, 3, 4, 5)), ("c", 0, (0, 1, 2, 3)), ("c", 1, (2, 3, 4, 5)), ("b", 0, (0, 1, 2, 3)),
+    }
+
+
+def test_windows_without_an_event_time_never_expire(spark, tmp_path):
+    feed(spark, str(tmp_path), 0, log_rows(5))
+    with pytest.raises(ValueError):
+        W.stream_windows(S.stream_clean(stream(spark, str(tmp_path))), idle="1 day")
+    with pytest.raises(ValueError):
+        W.stream_windows(S.stream_clean(stream(spark, str(tmp_path))), 0)
+
+
+def test_ids_come_back_and_late_rows_are_counted(spark, tmp_path):
+    folder = str(tmp_path)
+    schema = "incident_id string, ts timestamp"
+
+    def run(number, *rows):
+        given = [(i, datetime(2024, 1, 1, hour)) for i, hour in rows]
+        spark.createDataFrame(given, schema).write.parquet(f"{folder}/in/part={number}")
+        once = S.stream_dedup(spark.readStream.schema(schema).parquet(f"{folder}/in/part=*"), delay="1 hour")
+        progress = S.run_available(W.to_files(once, f"{folder}/out"), f"{folder}/checkpoint")
+        total = S.state_changes(spark, progress).groupBy().sum("rows", "late", "forgotten").first()
+        return tuple(total)
+
+    out = lambda: sorted((r.incident_id, r.ts.hour) for r in spark.read.schema(schema).parquet(f"{folder}/out").collect())
+    assert run(0, ("a", 1), ("a", 1), ("b", 1)) == (3, 0, 0)
+    assert run(1, ("a", 2), ("c", 3)) == (2, 0, 2)  # the watermark is at 2 now: a and b are forgotten
+    assert out() == [("a", 1), ("b", 1), ("c", 3)]
+    assert run(2, ("a", 3), ("b", 2)) == (2, 1, 0)  # b is late
+    assert out() == [("a", 1), ("a", 3), ("b", 1), ("c", 3)]
 
 
 def test_clean_equals_batch(spark, tmp_path):
     folder = str(tmp_path)
     feed(spark, folder, 0, log_rows(60))
     cleaned = S.stream_clean(stream(spark, folder))
-    S.run_available(S.to_files(cleaned, f"{folder}/clean"), f"{folder}/clean-checkpoint")
+    S.run_available(W.to_files(cleaned, f"{folder}/clean"), f"{folder}/clean-checkpoint")
     got = spark.read.schema(cleaned.schema).parquet(f"{folder}/clean")
     want = informative_lines(spark.createDataFrame(log_rows(60), vocab.LINE_SCHEMA))
     columns = ["source", "seq", "normalized", "level", "component"]
@@ -95,9 +157,9 @@ def test_dedup_and_triage(spark, tmp_path):
     folder = str(tmp_path)
     feed(spark, folder, 0, log_rows(100))
     advance(spark, folder, 8, 4)
-    incidents = S.stream_incidents(S.windows_stream(spark, f"{folder}/out"))
+    incidents = S.stream_incidents(W.windows_stream(spark, f"{folder}/out"))
     stamped = incidents.withColumn("ts", F.timestamp_seconds("win"))
-    S.run_available(S.to_files(S.stream_dedup(stamped), f"{folder}/unique"), f"{folder}/c1")
+    S.run_available(W.to_files(S.stream_dedup(stamped), f"{folder}/unique"), f"{folder}/c1")
     unique = spark.read.schema(stamped.schema).parquet(f"{folder}/unique")
     batch = flows.lines_to_incidents(spark.createDataFrame(log_rows(100), vocab.LINE_SCHEMA))
     assert sorted(r.incident_id for r in unique.collect()) == sorted(
@@ -105,13 +167,13 @@ def test_dedup_and_triage(spark, tmp_path):
     )
 
     answers = S.stream_triage(incidents)
-    S.run_available(S.to_files(answers, f"{folder}/answers"), f"{folder}/c2")
+    S.run_available(W.to_files(answers, f"{folder}/answers"), f"{folder}/c2")
     got = spark.read.schema(answers.schema).parquet(f"{folder}/answers")
-    assert got.count() == len(cut(S.read_windows(spark, f"{folder}/out")))
+    assert got.count() == len(cut(W.read_windows(spark, f"{folder}/out")))
     assert set(r.severity for r in got.collect()) <= set(vocab.SEVERITIES)
 
     raw = S.stream_triage(incidents.withColumn("raw_output", F.lit("sev-1 packet responder")))
-    S.run_available(S.to_files(raw, f"{folder}/raw"), f"{folder}/c3")
+    S.run_available(W.to_files(raw, f"{folder}/raw"), f"{folder}/c3")
     rows = spark.read.schema(raw.schema).parquet(f"{folder}/raw").collect()
     assert {(r.severity, r.likely_cause) for r in rows} == {("SEV-1", vocab.PACKET_RESPONDER)}
 
