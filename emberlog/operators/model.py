@@ -2,11 +2,15 @@
 
 Severity and cause are each fitted with hashed token features and multinomial logistic regression.
 It fills the ``raw_output`` column with JSON text, so repair and evaluation run on it unchanged.
+
+Models are saved in the shared folder and loaded in other sessions. A save is visible once its last row is written,
+so an interrupted one leaves the model before it in place.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,7 +24,7 @@ from pyspark.ml.feature import (
     RegexTokenizer,
     StringIndexerModel,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import vocab
@@ -32,6 +36,9 @@ TARGETS = ("severity", "likely_cause")
 LABELS = {"severity": vocab.SEVERITIES, "likely_cause": list(vocab.ACTIONS)}
 
 
+SMALL_DATA = 20.0
+
+
 @dataclass(frozen=True)
 class Params:
     """What a tuning configuration may vary."""
@@ -40,6 +47,8 @@ class Params:
     max_iter: int = 20
     reg_param: float = 0.0
     features: int = 1 << 14
+    #: Shrinkage is raised by this over the number of training rows: few rows cannot settle many features.
+    small_data: float = SMALL_DATA
 
 
 # one trial per fixed configuration: more passes and less shrinkage from B over A to C
@@ -86,6 +95,7 @@ def train_triage_model(train: DataFrame, val: DataFrame, params: Params = Params
     fit_rows = features.transform(_with_labels(train)).select("_features", *TARGETS)
     val_rows = features.transform(_with_labels(val)).select("_features", *TARGETS)
     fit_rows.persist()
+    shrinkage = params.reg_param + params.small_data / max(1, fit_rows.count())
     fitted, losses = {}, {"train": [], "val": []}
     try:
         for target in TARGETS:
@@ -96,7 +106,7 @@ def train_triage_model(train: DataFrame, val: DataFrame, params: Params = Params
                     ),
                     LogisticRegression(
                         featuresCol="_features", labelCol="_label", maxIter=params.max_iter,
-                        regParam=params.reg_param, predictionCol="_prediction",
+                        regParam=shrinkage, predictionCol="_prediction",
                         probabilityCol="_probability", rawPredictionCol="_raw",
                         family="multinomial",
                     ),
@@ -152,3 +162,37 @@ def tune_triage_model(
         "val_loss double, runtime_seconds double"
     )
     return train.sparkSession.createDataFrame(rows, schema)
+
+
+SAVED = "saved_at timestamp, folder string, train_loss double, val_loss double, runtime_seconds double"
+
+
+def save_triage_model(model: TriageModel, spark: SparkSession, path: str) -> str:
+    """Write ``model`` under ``path`` and return its own folder; earlier models there stay.
+
+    All parts go to a fresh folder first; one row of the list of models, written last, makes it count.
+    """
+    folder = f"model-{uuid.uuid4().hex}"
+    model.features.write().save(f"{path}/{folder}/features")
+    for target, fitted in model.targets.items():
+        fitted.write().save(f"{path}/{folder}/{target}")
+    row = (folder, model.train_loss, model.val_loss, model.runtime_seconds)
+    listed = spark.createDataFrame([row], SAVED.split(", ", 1)[1]).select(F.current_timestamp().alias("saved_at"), "*")
+    listed.coalesce(1).write.mode("append").parquet(f"{path}/models")
+    return f"{path}/{folder}"
+
+
+def saved_models(spark: SparkSession, path: str) -> DataFrame:
+    """All models under ``path``, one row each (``SAVED``)."""
+    return spark.read.schema(SAVED).parquet(f"{path}/models")
+
+
+def load_triage_model(spark: SparkSession, path: str) -> TriageModel:
+    """The model that was saved last under ``path``."""
+    last = saved_models(spark, path).orderBy(F.desc("saved_at"), F.desc("folder")).first()
+    if last is None:
+        raise ValueError(f"no model under {path}")
+    part = lambda name: PipelineModel.load(f"{path}/{last['folder']}/{name}")
+    return TriageModel(
+        part("features"), {t: part(t) for t in TARGETS}, last["train_loss"], last["val_loss"], last["runtime_seconds"]
+    )

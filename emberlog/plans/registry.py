@@ -1023,9 +1023,18 @@ def _parts(spark, sf):
     return rows, rows.where("split = 'train'"), rows.where("split = 'val'")
 
 
+def _guess_sql(side: str) -> str:
+    """Mean log loss on ``side`` of the label shares of the training split, as ``_constant_loss`` has it."""
+    part = """SELECT avg(-ln(coalesce(p, 1e-15))) FROM splits s LEFT JOIN (
+        SELECT {t} AS label, count(*) / (SELECT count(*) FROM splits WHERE split = 'train') AS p
+        FROM splits WHERE split = 'train' GROUP BY {t}) g ON g.label = s.{t} WHERE s.split = '{side}'"""
+    return "round((" + " + ".join(f"({part.format(t=t, side=side)})" for t in model.TARGETS) + f") / {len(model.TARGETS)}, 9)"
+
+
 @query(
     "train_triage_model",
-    """SELECT count_if(split = 'train') AS train_rows, count_if(split = 'val') AS val_rows,
+    f"""SELECT count_if(split = 'train') AS train_rows, count_if(split = 'val') AS val_rows,
+         {_guess_sql('train')} AS constant_train_loss, {_guess_sql('val')} AS constant_val_loss,
          true AS better_than_constant FROM splits""",
     "splits",
 )
@@ -1038,6 +1047,8 @@ def _(spark, sf):
     return rows.agg(
         F.count_if(F.col("split") == "train").alias("train_rows"),
         F.count_if(F.col("split") == "val").alias("val_rows"),
+        F.round(F.lit(constant["t"]), 9).alias("constant_train_loss"),
+        F.round(F.lit(constant["v"]), 9).alias("constant_val_loss"),
         F.lit(better).alias("better_than_constant"),
     )
 
@@ -1076,6 +1087,28 @@ def _(spark, sf):
     )
 
 
+@query(
+    "saved_triage_model",
+    """SELECT incident_id, true AS same_output, true AS listed_once FROM splits WHERE split = 'test'""",
+    "splits",
+)
+def _(spark, sf):
+    """A model read back from the shared folder says the same of every test row; of two, the later one counts."""
+    rows, train, val = _parts(spark, sf)
+    test, path = rows.where("split = 'test'").select("incident_id", "prompt"), stage_path(spark, "models")
+    first = model.train_triage_model(train, val, model.CONFIGS[1])
+    trained = model.train_triage_model(train, val)
+    for each in (first, trained):
+        model.save_triage_model(each, spark, path)
+    again = model.load_triage_model(spark, path)
+    said = model.predict_triage(trained, test).withColumnRenamed("raw_output", "said")
+    both = model.predict_triage(again, said)
+    # one folder for each of the two, and the losses of the one that was loaded
+    kept = model.saved_models(spark, path).select("folder", "val_loss").collect()
+    listed = len({k["folder"] for k in kept}) == 2 and again.val_loss == trained.val_loss
+    return both.select("incident_id", (F.col("said") == F.col("raw_output")).alias("same_output"), F.lit(listed).alias("listed_once"))
+
+
 @query("predict_triage_scores")
 def _(spark, sf):
     """Predictions on the test split, through repair, override and scoring."""
@@ -1089,8 +1122,10 @@ def _(spark, sf):
 
 @query(
     "tune_triage_model",
-    f"""SELECT ord, config_name, true AS has_losses, ord = 2 AS wins
+    f"""SELECT ord, config_name, (SELECT count(*) FROM splits WHERE split = 'train') AS train_rows,
+          (SELECT count(*) FROM splits WHERE split = 'val') AS val_rows, true AS has_losses, ord = 2 AS wins
         FROM (VALUES {", ".join(f"({i}, {Q.lit(c.name)})" for i, c in enumerate(model.CONFIGS))}) t(ord, config_name)""",
+    "splits",
 )
 def _(spark, sf):
     """The winner, by least validation loss, is the configuration with most passes and least shrinkage."""
@@ -1098,7 +1133,7 @@ def _(spark, sf):
     runs = pin(model.tune_triage_model(train, val), "tuning")
     best = X.best_run(runs).select(F.col("ord").alias("best"))
     return runs.join(best, F.col("ord") == F.col("best"), "left").select(
-        "ord", "config_name",
+        "ord", "config_name", F.lit(train.count()).alias("train_rows"), F.lit(val.count()).alias("val_rows"),
         (F.col("train_loss").isNotNull() & F.col("val_loss").isNotNull()).alias("has_losses"),
         F.col("best").isNotNull().alias("wins"),
     )
