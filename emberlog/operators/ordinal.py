@@ -106,3 +106,17 @@ def line_ordinal(
         starts=starts,
         read_once=True,
     )
+
+
+def global_ordinal(lines: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
+    """Position of each line in one sequence over all sources, in order of their names, then in file order.
+
+    No task sees more than a block of lines: positions within a source come from ``line_ordinal``, and the sources'
+    offsets from a table of one row per source. ``lines`` is scanned twice, so let it be a stored table. A null
+    source comes first.
+    """
+    before = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
+    starts = counted.select(F.struct("source").alias("_source"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = line_ordinal(lines, span=span).withColumn("_source", F.struct("source"))
+    return placed.join(starts, "_source").withColumn("pos", F.col("_start") + F.col("pos")).drop("_source", "_start")

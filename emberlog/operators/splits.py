@@ -150,13 +150,8 @@ def truncate_to_budget(df: DataFrame, text: str, budget: int) -> DataFrame:
     )
 
 
-def length_audit(
-    splits: DataFrame, prompt_budget: int = 512, response_budget: int = 256, by: str = "split"
-) -> DataFrame:
-    """Token-length percentiles and over-budget counts per group and text field.
-
-    Texts are measured before the shuffle; exact percentiles aggregate a count per distinct length.
-    """
+def token_lengths(splits: DataFrame, prompt_budget: int, response_budget: int, *by: str) -> DataFrame:
+    """``(by, field, n_tokens, budget)`` of both text fields."""
     field = F.explode(
         F.array(
             *[
@@ -169,9 +164,18 @@ def length_audit(
             ]
         )
     )
+    return splits.select(*by, field.alias("f")).select(*by, "f.*")
+
+
+def length_audit(
+    splits: DataFrame, prompt_budget: int = 512, response_budget: int = 256, by: str = "split"
+) -> DataFrame:
+    """Token-length percentiles and over-budget counts per group and text field.
+
+    Texts are measured before the shuffle; exact percentiles aggregate a count per distinct length.
+    """
     return (
-        splits.select(by, field.alias("f"))
-        .select(by, "f.*")
+        token_lengths(splits, prompt_budget, response_budget, by)
         .groupBy(by, "field")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -181,3 +185,45 @@ def length_audit(
             F.count_if(F.col("n_tokens") > F.col("budget")).alias("over_budget"),
         )
     )
+
+
+#: Size of a length sketch, and how far a percentile's rank may be off with it (99 % of the time, merged or not).
+SKETCH_SIZE = 400
+RANK_ERROR = 0.01
+
+
+def length_sketches(
+    splits: DataFrame, prompt_budget: int = 512, response_budget: int = 256, by: Sequence[str] = ("split",), size: int = SKETCH_SIZE
+) -> DataFrame:
+    """``(by, field, n, max_tokens, over_budget, sketch)``: audits that can be stored and merged.
+
+    A sketch is a quantile sketch (KLL) of the token lengths, a few kilobytes whatever the number of rows, built
+    on the map side. An audit of yesterday's and one of today's rows merge into that of both, where exact
+    percentiles need all rows again.
+    """
+    return (
+        token_lengths(splits, prompt_budget, response_budget, *by)
+        .groupBy(*by, "field")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("n_tokens").alias("max_tokens"),
+            F.count_if(F.col("n_tokens") > F.col("budget")).alias("over_budget"),
+            F.kll_sketch_agg_bigint("n_tokens", F.lit(size)).alias("sketch"),
+        )
+    )
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:
+    """Audits of parts to audits of the whole, per ``by`` and field."""
+    return sketches.groupBy(*by, "field").agg(
+        F.sum("n").alias("n"),
+        F.max("max_tokens").alias("max_tokens"),
+        F.sum("over_budget").alias("over_budget"),
+        F.kll_merge_agg_bigint("sketch").alias("sketch"),
+    )
+
+
+def sketched_percentiles(sketches: DataFrame) -> DataFrame:
+    """Audits with ``p50`` and ``p95`` in place of the sketch; ranks are within ``RANK_ERROR`` for the usual size."""
+    part = {f"p{share}": F.kll_sketch_get_quantile_bigint("sketch", F.lit(share / 100)) for share in (50, 95)}
+    return sketches.withColumns(part).drop("sketch")

@@ -43,6 +43,7 @@ def files_to_incidents(
     size: int = 8,
     stride: int = 4,
     cap: int | None = None,
+    by: str = "file",
 ) -> tuple[DataFrame, Observation]:
     """Text files to incidents, with the line counts observed while reading.
 
@@ -50,7 +51,7 @@ def files_to_incidents(
     ranking passes then scan and which fixes the order keys of the text scan.
     """
     counts = Observation("lines")
-    lines = read_log_lines(spark, path).observe(
+    lines = read_log_lines(spark, path, by).observe(
         counts, F.count(F.lit(1)).alias("total_lines"), F.count_if(F.col("line") == "").alias("blank_lines")
     )
     kept = pin(

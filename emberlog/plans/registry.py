@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import vocab
@@ -20,6 +21,7 @@ from emberlog.operators import labelling, model, splits
 from emberlog.operators import lines as lin
 from emberlog.operators import repair as rep
 from emberlog.operators.labelling import parse_response
+from emberlog.operators.ordinal import global_ordinal, line_ordinal
 from emberlog.operators.windows import expected_windows, sliding_windows
 from emberlog.plans import flows
 from emberlog.plans import oracles as Q
@@ -119,40 +121,132 @@ def _(spark, sf):
 
 
 @query(
-    "files_to_windows",
-    """SELECT count(*) AS informative_lines,
-         CAST(sum(len(normalized)) AS BIGINT) AS characters FROM kept""",
-    "kept",
+    "numbered_lines",
+    """SELECT row_number() OVER (ORDER BY seq) - 1 AS pos,
+         row_number() OVER (PARTITION BY part ORDER BY seq) - 1 AS line_no, line
+       FROM (SELECT *, (seq - min(seq) OVER ()) * 5 // (max(seq) OVER () - min(seq) OVER () + 1) AS part FROM log_lines)""",
+    "log_lines",
 )
 def _(spark, sf):
-    path = stage_path(spark, "text")
-    log_lines(spark, sf).select("line").write.text(path)
-    kept = pin(lin.informative_lines(files.read_log_lines(spark, path)), "informative")
-    return kept.agg(
-        F.count(F.lit(1)).alias("informative_lines"),
-        F.sum(F.length("normalized").cast("bigint")).alias("characters"),
-    )
+    """Line numbers over five files, read in blocks of about 64 KB."""
+    with _small_blocks(spark):
+        return files.numbered_lines(spark, f"{_line_files(spark, sf)}/*").select("pos", "line_no", "line")
 
 
 @query(
-    "files_to_incidents",
-    "SELECT source, win, incident_id, service FROM incidents",
-    "incidents",
+    "line_ordinal_global",
+    "SELECT row_number() OVER (ORDER BY seq) - 1 AS pos, normalized FROM kept",
+    "kept",
 )
 def _(spark, sf):
-    """Text files, one folder per source, a blank line before every tenth, to incidents."""
+    """One sequence of informative lines over five files, without any key."""
+    with _small_blocks(spark):
+        kept = pin(lin.informative_lines(files.read_log_lines(spark, f"{_line_files(spark, sf)}/*")), "informative")
+    return global_ordinal(kept).select("pos", "normalized")
+
+
+@contextmanager
+def _small_blocks(spark):
+    """Text scans in blocks of 64 KB, as large files are cut into many."""
+    conf = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _line_files(spark, sf, parts: int = 5) -> str:
+    """The log lines in order, dealt to text files ``a`` to ``e``, one folder each."""
+    path = stage_path(spark, "text")
+    lines = pin(log_lines(spark, sf).select("seq", "line"), "lines")
+    low, high = lines.agg(F.min("seq"), F.max("seq")).first()
+    for i in range(parts):
+        part = lines.where(F.floor((F.col("seq") - low) * parts / (high - low + 1)) == i)
+        part.coalesce(1).sortWithinPartitions("seq").select("line").write.text(f"{path}/{'abcde'[i]}")
+    return path
+
+
+def _source_folders(spark, sf) -> str:
+    """The log lines as text, a folder of several numbered files per source, with a blank line before every tenth."""
     path = stage_path(spark, "text")
     lines = log_lines(spark, sf).select("source", "seq", "line")
     blank = lines.where(F.pmod("seq", F.lit(10)) == 0).withColumn("line", F.lit(""))
     both = lines.withColumn("_n", F.lit(1)).unionByName(blank.withColumn("_n", F.lit(0)))
-    # the order within a source is that of its file, so each source is one file here
-    ordered = both.repartition("source").sortWithinPartitions("source", "seq", "_n")
+    # ranges of (source, seq): a source may be spread over many tasks, and its files follow one another by name
+    ordered = both.repartitionByRange(12, "source", "seq", "_n").sortWithinPartitions("source", "seq", "_n")
     ordered.select("source", F.col("line").alias("value")).write.partitionBy("source").text(path)
-    found, _ = flows.files_to_incidents(spark, f"{path}/source=*")
-    source = F.regexp_extract("source", "source=([^/]+)/", 1)
+    return f"{path}/source=*"
+
+
+@query(
+    "files_to_windows",
+    """SELECT source, win, string_agg(normalized, '|' ORDER BY pos) AS body FROM wl GROUP BY source, win""",
+    "wl",
+)
+def _(spark, sf):
+    """Windows of text files, with a folder of several files per source."""
+    lines = files.read_log_lines(spark, _source_folders(spark, sf), by="folder")
+    kept = pin(lin.informative_lines(lines), "informative")
+    found = sliding_windows(line_ordinal(kept))
+    source = F.regexp_extract("source", "source=([^/]+)$", 1)
+    return found.select(source.alias("source"), "win", F.array_join("members.normalized", "|").alias("body"))
+
+
+@query(
+    "files_to_incidents",
+    "SELECT source, win, incident_id, service FROM incidents",
+    "incidents",
+)
+def _(spark, sf):
+    """Text files, a folder of several files per source, to incidents."""
+    found, _ = flows.files_to_incidents(spark, _source_folders(spark, sf), by="folder")
+    source = F.regexp_extract("source", "source=([^/]+)$", 1)
     return found.select(source.alias("source"), "win", "incident_id", "service")
 
 
+@query(
+    "broken_json_lines",
+    """SELECT incident_id, incident_text, NULL AS broken FROM labelled
+       UNION ALL SELECT NULL, NULL, substr(response, 1, len(response) - 1) FROM labelled
+       UNION ALL SELECT NULL, NULL, response || ' ' || response FROM labelled WHERE severity = 'SEV-1'""",
+    "labelled",
+)
+def _(spark, sf):
+    """Files with broken lines among the good ones: the good rows, the quarantine, and the numbers observed."""
+    path = stage_path(spark, "mixed")
+    good = pin(labelled(spark, sf), "labelled")
+    line = F.to_json(F.struct("incident_id", "incident_text"))
+    cut = F.expr("substr(response, 1, length(response) - 1)")
+    twice = F.concat("response", F.lit(" "), "response")
+    lines = good.select(line.alias("value")).unionByName(good.select(cut.alias("value")))
+    lines = lines.unionByName(good.where("severity = 'SEV-1'").select(twice.alias("value")))
+    lines.unionByName(spark.createDataFrame([("",), ("  ",)], "value string")).write.text(path)
+    schema, counts = "incident_id string, incident_text string", Observation("json")
+    read = pin(files.read_json_lines(spark, path, schema, broken="drop", counts=counts), "read")
+    away = files.broken_lines(spark, path, schema).select(F.col("line").alias("broken"))
+    if counts.get["lines"] - counts.get["broken"] != read.count() or counts.get["broken"] != away.count():
+        raise RuntimeError("the numbers observed differ from the rows")
+    return read.unionByName(away, allowMissingColumns=True)
+
+
+@query("rewritten_splits", "SELECT split, prompt, response FROM splits", "splits")
+def _(spark, sf):
+    """Splits written to one place again and again: two of them, all, and one alone."""
+    path = stage_path(spark, "splits")
+    rows = pin(split_rows(spark, sf), "splits")
+    files.write_splits(rows.where("split != 'val'"), path)
+    files.write_splits(rows, path)
+    files.write_splits(rows.where("split = 'val'"), path, only_given=True)
+    return files.read_splits(spark, path).select("split", "prompt", "response")
+
+
 @query(
     "incidents_json",
     """SELECT incident_id, service, incident_text, warn AS warn_lines, 8 AS n_lines FROM incidents""",
@@ -212,6 +306,61 @@ def _(spark, sf):
     )
 
 
+_RATES = {
+    "severity_accuracy": "severity_ok", "likely_cause_accuracy": "cause_ok", "recommended_action_accuracy": "action_ok",
+    "exact_match_accuracy": "exact", "valid_json_rate": "filled", "repair_rate": "NOT is_json",
+    "heuristic_override_rate": "override_changed",
+}
+_CELLS = [(t, p) for t in ("SEV-1", "SEV-3") for p in ("SEV-1", "SEV-3")]
+
+
+@query(
+    "report_json_whole",
+    " UNION ALL ".join(
+        [f"SELECT run, '{name}' AS name, (count(*) FILTER ({test}) / count(*)) * 100 AS value FROM scored GROUP BY run"
+         for name, test in _RATES.items()]
+        + [f"SELECT run, '{t} as {p}', count(*) FILTER (true_severity = '{t}' AND severity = '{p}') FROM scored GROUP BY run"
+           for t, p in _CELLS]
+        + ["SELECT run, 'test_samples', count(*) FROM scored GROUP BY run"]
+        + [f"SELECT run, true_cause || ' {what}', {value} FROM scored GROUP BY run, true_cause"
+           for what, value in (("total", "count(*)"), ("correct", "count(*) FILTER (cause_ok)"),
+                               ("accuracy", "(count(*) FILTER (cause_ok) / count(*)) * 100"))]
+    ),
+    "scored",
+)
+def _(spark, sf):
+    """Every value of the written report, one row each: rates, all four cells, and the causes."""
+    path = stage_path(spark, "report")
+    report = E.evaluation_report(pin(scored(spark, sf), "scored"))
+    files.write_report(report, path)
+    back = spark.read.schema(report.schema).json(path)
+    value = lambda name, column: F.struct(F.lit(name).alias("name"), F.col(column).cast("double").alias("value"))
+    plain = [value("test_samples", "test_samples"), *[value(f"{t} as {p}", f"confusion_matrix.`{t}`.`{p}`") for t, p in _CELLS]]
+    for part in ("metrics", "inference_stats"):
+        plain += [value(f.name, f"{part}.{f.name}") for f in report.schema[part].dataType.fields]
+    cause = F.col("by_likely_cause")
+
+    def of_causes(what: str):
+        named = lambda e: F.struct(F.concat(e["key"], F.lit(f" {what}")).alias("name"), e["value"][what].cast("double").alias("value"))
+        return F.transform(F.map_entries(cause), named)
+
+    causes = [of_causes(what) for what in ("total", "correct", "accuracy")]
+    return back.select("run", F.inline(F.concat(F.array(*plain), *causes)))
+
+
+@query(
+    "experiments_json_best",
+    """SELECT 'best_only' AS mode, config_name AS config, val_loss, epochs
+       FROM runs ORDER BY runs.val_loss, ord LIMIT 1""",
+    "runs",
+)
+def _(spark, sf):
+    path = stage_path(spark, "experiments")
+    files.write_experiments(X.only_best(tuning_runs(spark, sf)), path, best_only=True)
+    schema = "mode string, experiment struct<val_loss: double, epochs: int>, config string"
+    return spark.read.schema(schema).json(path).select("mode", "config", "experiment.val_loss", "experiment.epochs")
+
+
 @query(
     "experiments_json",
     """SELECT config_name, val_loss, (SELECT config_name FROM runs ORDER BY val_loss, ord LIMIT 1)
@@ -575,6 +724,35 @@ def _(spark, sf):
     return splits.length_audit(split_rows(spark, sf), prompt_budget=40)
 
 
+@query(
+    "length_sketches",
+    f"""SELECT split, field, count(*) AS n, max(k) AS max_tokens, count(*) FILTER (k > budget) AS over_budget,
+          true AS p50_close, true AS p95_close
+        FROM (SELECT split, 'prompt' AS field, 40 AS budget,
+                len({_tokens('prompt')}) AS k FROM splits
+              UNION ALL SELECT split, 'response', 256,
+                len({_tokens('response')}) FROM splits)
+        GROUP BY split, field""",
+    "splits",
+)
+def _(spark, sf):
+    """Audits of sixteen parts, stored, merged and read: how far the ranks of their percentiles are off."""
+    rows = pin(split_rows(spark, sf), "splits").withColumn("part", F.pmod(F.crc32("incident_id"), F.lit(16)))
+    stored = pin(splits.length_sketches(rows, prompt_budget=40, by=("split", "part")), "sketches")
+    merged = splits.sketched_percentiles(splits.merge_sketches(stored))
+    lengths = splits.token_lengths(rows, 40, 256, "split").select("split", "field", "n_tokens")
+    error = splits.RANK_ERROR
+
+    def close(p: str, share: float):
+        below, upto = F.avg((F.col("n_tokens") < F.col(p)).cast("int")), F.avg((F.col("n_tokens") <= F.col(p)).cast("int"))
+        return ((below <= share + error) & (upto >= share - error)).alias(f"{p}_close")
+
+    return (
+        lengths.join(merged, ["split", "field"]).groupBy("split", "field", "n", "max_tokens", "over_budget")
+        .agg(close("p50", 0.5), close("p95", 0.95))
+    )
+
+
 @query(
     "truncate_to_budget",
     f"""SELECT doc_id, len(t) AS n_tokens, len(t) > 512 AS over_budget,

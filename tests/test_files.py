@@ -1,10 +1,14 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from emberlog import vocab
 from emberlog.operators import evaluation as E
 from emberlog.operators import labelling, splits
+from emberlog.operators.lines import informative_lines
+from emberlog.operators.ordinal import global_ordinal
 from emberlog.plans import flows
 from emberlog.session import pin, shared_dir, stage_path
 from emberlog.sources import files
@@ -81,6 +85,100 @@ def test_split_files(spark, log_file, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
+def test_numbers_do_not_depend_on_the_scan(spark, tmp_path):
+    """Several files, one of them empty, cut into blocks of two sizes: the same numbers, those of the files."""
+    want = []
+    for name, n in (("a", 70), ("b", 0), ("c", 1), ("d", 200)):
+        lines = [f"{name} {i} " + "x" * (i * 7 % 40) if i % 5 else "" for i in range(n)]
+        (tmp_path / f"{name}.log").write_text("".join(line + "\n" for line in lines))
+        want += [(len(want) + i, i, line.strip()) for i, line in enumerate(lines)]
+    got = []
+    for size in ("300b", "64k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            df = files.numbered_lines(spark, str(tmp_path))
+            got.append(sorted((r.pos, r.line_no, r.line) for r in df.collect()))
+            folder = files.numbered_lines(spark, str(tmp_path), by="folder")
+            assert sorted((r.line_no, r.line) for r in folder.collect()) == [(p, line) for p, _, line in want]
+            kept = pin(informative_lines(files.read_log_lines(spark, str(tmp_path)).withColumn("line", F.concat("line", F.lit(" slow")))), "kept")
+            placed = global_ordinal(kept).orderBy("pos").select("pos", "normalized").collect()
+            assert [tuple(r) for r in placed] == [(p, f"{line} slow".strip()) for p, _, line in want]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [want, want]
+    with pytest.raises(ValueError):
+        files.read_log_lines(spark, str(tmp_path), by="year")
+
+
+GOOD = ['{"prompt": "a", "response": "b"}', ' {"prompt": "c"}\t', '{"response": "d", "other": [1, {"x": "}"}]}', "{}"]
+BROKEN = ['{"prompt": "a"', '{"prompt": "a"} x', '{"prompt": "a"}{"prompt": "b"}', '{"prompt": "a"},{"prompt": "b"}', "[1]", "3", "null", "nope",
+          "{'prompt': 'a'}", '{"prompt": NaN}', '{"prompt": "a",}', '[{"prompt": "a"}]', '{"a": 1}]', '"x"']
+
+
+def test_broken_json_lines(spark, tmp_path):
+    path = str(tmp_path / "pairs.jsonl")
+    (tmp_path / "pairs.jsonl").write_text("\n".join([*GOOD[:2], "", *BROKEN, "   ", *GOOD[2:], ""]), encoding="utf-8")
+    counts = Observation("json")
+    rows = files.read_pairs(spark, path, broken="drop", counts=counts).collect()
+    assert [tuple(r) for r in rows] == [("a", "b"), ("c", None), (None, "d"), (None, None)]
+    assert counts.get == {"lines": len(GOOD) + len(BROKEN), "broken": len(BROKEN)}
+    away = files.broken_lines(spark, path, vocab.PAIR_SCHEMA).collect()
+    assert [r.line for r in away] == BROKEN and {r.file for r in away} == {f"file:{path}"}
+    with pytest.raises(Exception, match="broken JSON in"):
+        files.read_pairs(spark, path).count()  # even where no column is asked for
+    with pytest.raises(ValueError):
+        files.read_pairs(spark, path, broken="ignore")
+
+
+def test_sinks_can_run_again(spark, tmp_path):
+    path, schema = str(tmp_path / "splits"), "split string, prompt string, response string"
+    rows = spark.createDataFrame([(s, f"p{i}", "r") for i, s in enumerate(["train"] * 7 + ["val", "test"])], schema)
+    read = lambda: sorted((r.split, r.prompt) for r in files.read_splits(spark, path).collect())
+    want = sorted((r.split, r.prompt) for r in rows.collect())
+    for _ in range(2):
+        files.write_splits(rows, path)
+        assert read() == want
+    # a job that fails leaves the files of the one before
+    broken = rows.withColumn("prompt", F.when(F.col("prompt") == "p3", F.raise_error(F.lit("cut off")).cast("string")).otherwise("new"))
+    with pytest.raises(Exception, match="cut off"):
+        files.write_splits(broken, path)
+    assert read() == want
+    # what an earlier job left half done goes with the next one
+    (tmp_path / "splits" / "_temporary").mkdir()
+    (tmp_path / "splits" / "split=train" / "part-half.json").write_text('{"prompt": "half')
+    files.write_splits(rows, path)
+    assert read() == want
+    files.write_splits(rows.where("split = 'val'").withColumn("prompt", F.lit("other")), path, only_given=True)
+    assert read() == sorted([(s, p) for s, p in want if s != "val"] + [("val", "other")])
+    files.write_splits(rows.where("split = 'val'"), path)
+    assert read() == [("val", "p7")]
+    # a table may replace the files it was read from, and long files are cut
+    files.replace_json(files.read_splits(spark, path).unionByName(rows), path, by="split", rows_per_file=2)
+    assert len(list((tmp_path / "splits" / "split=train").glob("*.json"))) >= 4
+    assert len(read()) == 10
+
+
+def test_merged_sketches(spark):
+    rows = spark.range(20_000).select(
+        F.lit("train").alias("split"), (F.col("id") % 5).alias("part"),
+        F.repeat(F.lit("w "), (F.pow(F.rand(3), 2) * 300).cast("int")).alias("prompt"), F.lit("").alias("response"),
+    )
+    rows = pin(rows, "rows")
+    exact = {r.field: r for r in splits.length_audit(rows, 100, 100).collect()}
+    stored = pin(splits.length_sketches(rows, 100, 100, by=("split", "part")), "sketches")
+    assert stored.count() == 10
+    sketched = splits.sketched_percentiles(splits.merge_sketches(stored)).collect()
+    for r in sketched:
+        e = exact[r.field]
+        assert (r.n, r.max_tokens, r.over_budget) == (e.n, e.max_tokens, e.over_budget)
+        lengths = rows.select(F.size(splits.tokens(F.col(r.field))).alias("k"))
+        for value, share in ((r.p50, 0.5), (r.p95, 0.95)):
+            below, upto = lengths.agg(F.avg((F.col("k") < value).cast("int")), F.avg((F.col("k") <= value).cast("int"))).first()
+            assert below <= share + splits.RANK_ERROR and upto >= share - splits.RANK_ERROR
+
+
 def test_invalid_pairs_stop_the_build(spark, log_file, monkeypatch):
     found, _ = flows.files_to_incidents(spark, str(log_file))
     monkeypatch.setattr(
