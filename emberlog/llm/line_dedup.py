@@ -10,15 +10,18 @@ A line of at least ``MIN_CHARS`` characters goes if an earlier line of the corpu
   of its own length or up to ``MAX_EDITS`` less.
 * Postings and probes are two numbers a row, shuffled once by the hash of the substring. A sorted stream
   over them yields candidate pairs; it holds at most ``FEW`` postings of a substring.
-* Under a substring with more postings than that, every line is compared with one posted line first. Lines
-  that are already known to go need no further comparison; the others are joined with all postings.
-* Pairs are verified on their texts: common ends are cut off, then a banded bit-parallel edit distance.
+* Under a substring with more postings than that no pairs are made. Its lines come with their texts, in order of
+  their first spots, and each is compared with the earlier ones inside the task until one is near. Only lines
+  that go leave the task, so the rows stay in proportion to the lines. A task holds at most ``HELD`` lines of a
+  substring; those behind them are compared with these, then among themselves in a further round.
+* Texts are compared by bits of their character pairs first, where one edit changes four at most, then with common
+  ends cut off, by a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +34,9 @@ from emberlog.llm.common import SPACE, pin, table
 MAX_EDITS = 2
 MIN_CHARS = 20
 #: Postings of a substring that are compared with all its probes at once.
-FEW = 64
+FEW = 8
+#: Lines of a crowded substring that a task holds.
+HELD = 50_000
 #: Lines a task remembers to have posted.
 REMEMBERED = 500_000
 #: Rows up to which a side of a join is sent to every task.
@@ -168,8 +173,8 @@ def postings(docs: DataFrame, edits: int, least: int) -> DataFrame:
 
 
 def candidates(rows: DataFrame, few: int = FEW) -> DataFrame:
-    """Postings and probes -> rows (kind, key, a, b): pairs to verify, and the members of substrings with
-    more than ``few`` postings."""
+    """Postings and probes -> rows (kind, key, a, b): pairs to verify, and, with their role as kind, the members
+    (twice the same) of substrings with more than ``few`` postings."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held, crowded = None, [], False
@@ -208,14 +213,11 @@ def candidates(rows: DataFrame, few: int = FEW) -> DataFrame:
                 held.append(lid)
             elif not crowded:
                 crowded = True
-                out += [(POSTED, key, x, held[0]) for x in held]
+                out += [(POSTED, key, x, x) for x in held]
             if crowded:
-                out.append((POSTED, key, lid, held[0]))
-                out.append((PAIR, key, lid, held[0]))
+                out.append((POSTED, key, lid, lid))
         elif crowded:
-            out.append((PROBED, key, lid, held[0]))
-            if lid != held[0]:
-                out.append((PAIR, key, lid, held[0]))
+            out.append((PROBED, key, lid, lid))
         else:
             out += [(PAIR, key, lid, x) for x in held if x != lid]
         return key, held, crowded
@@ -254,21 +256,20 @@ def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CH
     pairs = pin(
         met.where(F.col("kind") == PAIR).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
     )
-    gone = pin(later(pairs, texts_of(pairs, firsts, docs), edits), "gone")
-    crowded = met.where(F.col("kind") != PAIR).select("kind", "key", F.col("a").alias("lid"))
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
+    gone = pin(later(pairs, texts_of(paired, firsts, docs), edits), "gone")
+    crowded = met.where(F.col("kind") != PAIR).select("key", "kind", F.col("a").alias("lid"))
     if crowded.limit(1).count():
-        left = rest_of(crowded, firsts, gone, pairs)
-        gone = gone.union(later(left, texts_of(left, firsts, docs), edits)).distinct()
+        gone = gone.union(later_in_crowds(crowded, firsts, gone, docs, edits)).distinct()
     marked = firsts.join(gone.withColumn("_gone", F.lit(True)), "digest", "left")
     marked = marked.where(F.col("_gone") | (F.col("n") > 1)).select("digest", "_gone", F.col("spot").alias("_first"))
     hit = spots.join(marked, "digest").where(F.col("_gone").isNotNull() | (F.col("spot") != F.col("_first")))
     return hit.select("_doc", F.col("spot._hash").alias("_hash"), F.col("spot.pos").alias("pos"))
 
 
-def texts_of(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The lines that occur in ``pairs``: lid, digest, spot, line. Read where they occur first; few enough
+def texts_of(wanted: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The lines with a wanted ``lid``: lid, digest, spot, line. Read where they occur first; few enough
     of them are sent to all tasks, more are joined by document."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
     spots = pin(firsts.join(wanted, "lid").select("lid", "digest", "spot", F.col("_doc").alias("_d"), F.col("spot._hash").alias("_h")), "spots")
     if spots.count() <= SMALL:
         spots = F.broadcast(spots)
@@ -288,18 +289,81 @@ def later(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     ).distinct()
 
 
-def rest_of(crowded: DataFrame, firsts: DataFrame, gone: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs under crowded substrings whose later line is not yet known to go."""
-    known = gone.withColumn("_gone", F.lit(True))
-    facts = firsts.join(known, "digest", "left").select("lid", "spot", F.coalesce("_gone", F.lit(False)).alias("_gone"))
-    named = pin(crowded.join(facts, "lid"), "crowded")
-    one = named.where(F.col("kind") == PROBED).select("key", F.col("lid").alias("a"), F.col("spot").alias("_s"), F.col("_gone").alias("_ga"))
-    two = named.where(F.col("kind") == POSTED).select("key", F.col("lid").alias("b"), F.col("spot").alias("_t"), F.col("_gone").alias("_gb"))
-    open_ = F.when(F.col("_s") > F.col("_t"), ~F.col("_ga")).otherwise(~F.col("_gb"))
-    # sides without an open line are left out before the join
-    openers = one.where(~F.col("_ga")).join(two, "key").union(one.where(F.col("_ga")).join(two.where(~F.col("_gb")), "key"))
-    found = openers.where(open_ & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pin(found.distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
+def marks(line: str) -> np.ndarray:
+    """256 bits, one set for each character pair of the line; an edit changes four of them at most."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    bits = np.zeros(256, bool)
+    bits[(codes[:-1] * np.uint32(2_654_435_761) + codes[1:] * np.uint32(40_503)) >> np.uint32(7) & np.uint32(255)] = True
+    return np.packbits(bits).view(np.uint64)
+
+
+class Earlier:
+    """Lines of one role under a crowded substring, earliest first."""
+
+    def __init__(self) -> None:
+        self.lines: list[str] = []
+        self.lids = np.empty(16, np.int64)
+        self.bits = np.empty((16, 4), np.uint64)
+
+    def add(self, lid: int, line: str, bits: np.ndarray) -> None:
+        n = len(self.lines)
+        if n == len(self.lids):
+            self.lids = np.concatenate([self.lids, np.empty_like(self.lids)])
+            self.bits = np.concatenate([self.bits, np.empty_like(self.bits)])
+        self.lids[n], self.bits[n] = lid, bits
+        self.lines.append(line)
+
+    def has_near(self, lid: int, line: str, bits: np.ndarray, edits: int) -> bool:
+        n = len(self.lines)
+        few = np.bitwise_count(self.bits[:n] ^ bits).sum(axis=1) <= 4 * edits
+        return any(self.lids[i] != lid and within(self.lines[i], line, edits) for i in np.flatnonzero(few).tolist())
+
+
+MEMBER = "key bigint, kind tinyint, lid bigint, digest binary, line string, known boolean"
+
+
+def compared_in_order(members: DataFrame, edits: int, held: int) -> DataFrame:
+    """``MEMBER`` rows, all of a key together and in order of their spots -> (gone, at, ``MEMBER``): digests of lines
+    that go, and the members behind the first ``held`` lines of a key, with their place ``at`` among them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["gone", "at", *(c.split()[0] for c in MEMBER.split(", "))]
+        now, posted, probed, at = None, Earlier(), Earlier(), 0
+        for batch in batches:
+            out = []
+            for key, kind, lid, digest, line, known in zip(*(batch[c] for c in names[2:]), strict=True):
+                if key != now:
+                    now, posted, probed, at = key, Earlier(), Earlier(), 0
+                bits = marks(line)
+                if not known:
+                    known = (probed if kind == POSTED else posted).has_near(lid, line, bits, edits)
+                    if known:
+                        out.append((True, 0, key, kind, lid, digest, None, True))
+                if at == 0 and len(posted.lines) < held and len(probed.lines) < held:
+                    (posted if kind == POSTED else probed).add(lid, line, bits)
+                else:
+                    at += 1
+                    out.append((False, at, key, kind, lid, digest, line, known))
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    return members.mapInPandas(run, f"gone boolean, at bigint, {MEMBER}")
+
+
+def later_in_crowds(crowded: DataFrame, firsts: DataFrame, gone: DataFrame, docs: DataFrame, edits: int, held: int = HELD) -> DataFrame:
+    """Digests of those lines under crowded substrings that are near an earlier one and not known to go."""
+    texts = texts_of(crowded.select("lid").distinct(), firsts, docs)
+    known = gone.withColumn("known", F.lit(True))
+    named = texts.join(known, "digest", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    order, found = ["key", "spot", "lid", "kind"], []
+    left = crowded.join(named, "lid")
+    while True:
+        ordered = left.repartition("key").sortWithinPartitions(*order)
+        done = pin(compared_in_order(ordered.select("key", "kind", "lid", "digest", "line", "known"), edits, held), "crowds")
+        found.append(done.where("gone").select("digest"))
+        left, order = done.where("not gone"), ["key", "at"]
+        if not left.limit(1).count():
+            return reduce(DataFrame.union, found).distinct()
 
 
 def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:

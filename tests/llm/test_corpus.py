@@ -205,6 +205,8 @@ def lines_by_brute_force(data, least=20, edits=2):
 def test_lines_are_those_of_brute_force(rows, monkeypatch, few):
     monkeypatch.setattr(line_dedup.candidates, "__defaults__", (few,))
     monkeypatch.setattr(line_dedup, "SMALL", 1000 if few == 64 else 0)
+    if few == 2:  # several rounds of a few lines each
+        monkeypatch.setattr(line_dedup.later_in_crowds, "__defaults__", (5,))
     r = random.Random(5)
     base = ["".join(r.choice("abcdé ") for _ in range(r.randint(15, 30))) for _ in range(10)]
     base += ["x" * 9 + "".join(r.choice("ab") for _ in range(18)) for _ in range(40)]
@@ -214,6 +216,28 @@ def test_lines_are_those_of_brute_force(rows, monkeypatch, few):
     assert {x["doc_id"]: x["text"] for x in got} == lines_by_brute_force(data)
 
 
+def test_one_edit_changes_four_marks_at_most():
+    r = random.Random(8)
+    for _ in range(500):
+        a = "".join(r.choice("abé中 ") for _ in range(r.randint(1, 60)))
+        b = mutated(r, a)
+        changed = int(np.bitwise_count(line_dedup.marks(a) ^ line_dedup.marks(b)).sum())
+        assert changed <= 4 * distance(a, b)
+
+
+def test_rows_grow_with_the_lines_of_a_crowd(rows):
+    """Lines that share their beginning and are near no other: none goes, and few rows leave the tasks."""
+    r = random.Random(3)
+    made = lambda n: [(i, "the same beginning of a line " + "".join(r.choice("abcdefgh") for _ in range(30))) for i in range(n)]
+    counts = []
+    for n in (100, 400):
+        docs = line_dedup.keyed(rows(made(n)))
+        met = line_dedup.candidates(line_dedup.postings(docs, 2, 20))
+        counts.append(met.count())
+        assert line_dedup.duplicate_lines(docs).count() == 0
+    assert counts[1] <= 6 * counts[0]
+
+
 def test_short_lines_are_compared_exactly(rows, spark):
     line = "the very same line of text"
     df = rows([(1, f"Log in\nx\n\n{line}"), (2, f"Log in\nLog on\n\n \n{line}."), (3, "x\n \nlog in"), (4, None)])
