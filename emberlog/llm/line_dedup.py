@@ -256,11 +256,12 @@ def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CH
     pairs = pin(
         met.where(F.col("kind") == PAIR).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
     )
-    paired = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    gone = pin(later(pairs, texts_of(paired, firsts, docs), edits), "gone")
     crowded = met.where(F.col("kind") != PAIR).select("key", "kind", F.col("a").alias("lid"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("lid")).union(crowded.select("lid")).distinct()
+    texts = texts_of(wanted, firsts, docs)
+    gone = pin(later(pairs, texts, edits), "gone")
     if crowded.limit(1).count():
-        gone = gone.union(later_in_crowds(crowded, firsts, gone, docs, edits)).distinct()
+        gone = gone.union(later_in_crowds(crowded, texts, gone, edits)).distinct()
     marked = firsts.join(gone.withColumn("_gone", F.lit(True)), "digest", "left")
     marked = marked.where(F.col("_gone") | (F.col("n") > 1)).select("digest", "_gone", F.col("spot").alias("_first"))
     hit = spots.join(marked, "digest").where(F.col("_gone").isNotNull() | (F.col("spot") != F.col("_first")))
@@ -350,9 +351,8 @@ def compared_in_order(members: DataFrame, edits: int, held: int) -> DataFrame:
     return members.mapInPandas(run, f"gone boolean, at bigint, {MEMBER}")
 
 
-def later_in_crowds(crowded: DataFrame, firsts: DataFrame, gone: DataFrame, docs: DataFrame, edits: int, held: int = HELD) -> DataFrame:
+def later_in_crowds(crowded: DataFrame, texts: DataFrame, gone: DataFrame, edits: int, held: int = HELD) -> DataFrame:
     """Digests of those lines under crowded substrings that are near an earlier one and not known to go."""
-    texts = texts_of(crowded.select("lid").distinct(), firsts, docs)
     known = gone.withColumn("known", F.lit(True))
     named = texts.join(known, "digest", "left").withColumn("known", F.coalesce("known", F.lit(False)))
     order, found = ["key", "spot", "lid", "kind"], []
