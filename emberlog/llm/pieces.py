@@ -34,16 +34,17 @@ MODEL = "piece_bpe_32k.model"
 #: Chunks a task remembers, and the longest that it remembers.
 REMEMBERED = 400_000
 LONGEST = 64
-NORMAL, BYTE = 1, 6
+NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 
 
 class Pieces:
     """A piece table with its automaton."""
 
     def __init__(self, pieces: list[tuple[str, float]], byte_ids: list[int], ids: list[int]) -> None:
-        self.text = dict(zip(ids, (p for p, _ in pieces), strict=True))
         self.byte_ids = byte_ids
-        self.byte_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        # what an id stands for in a text
+        self.raw = {i: p.replace(SPACE, " ").encode() for i, (p, _) in zip(ids, pieces, strict=True)}
+        self.raw |= {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.fallback = min(s for _, s in pieces) - 10
         self.automaton = ahocorasick.Automaton()
@@ -65,6 +66,10 @@ class Pieces:
             model.ParseFromString(f.read())
         entries = list(enumerate(model.pieces))
         byte_ids = [i for i, p in entries if p.type == BYTE]
+        if len(byte_ids) != 256:
+            raise ValueError("the model has no pieces for all bytes, so some texts could not be encoded")
+        if model.normalizer_spec.precompiled_charsmap or any(p.type == USER_DEFINED for _, p in entries):
+            raise ValueError("models that rewrite characters or have pieces of their users' are not supported")
         plain = [(i, p.piece, p.score) for i, p in entries if p.type == NORMAL]
         return cls([(p, s) for _, p, s in plain], byte_ids, [i for i, _, _ in plain])
 
@@ -121,11 +126,7 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``."""
-        out = []
-        for i in ids:
-            byte = self.byte_of.get(i)
-            out.append(byte if byte is not None else self.text[i].replace(SPACE, " ").encode())
-        return b"".join(out).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 @cache

@@ -257,3 +257,32 @@ def test_words(rows):
 
     for r in rows([(i, t) for i, t in enumerate(ODD)]).select("text", n_words("text").alias("n")).collect():
         assert r["n"] == len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+
+
+def test_models_that_cannot_be_honoured_are_refused(tmp_path):
+    import public_tokenizers
+    import pytest
+    from sentencepiece import sentencepiece_model_pb2 as model_pb
+
+    def saved(change):
+        model = model_pb.ModelProto()
+        with open(public_tokenizers.path(pieces.MODEL), "rb") as f:
+            model.ParseFromString(f.read())
+        change(model)
+        (tmp_path / "m.model").write_bytes(model.SerializeToString())
+        return str(tmp_path / "m.model")
+
+    def without_bytes(model):
+        for p in model.pieces:
+            p.type = 1 if p.type == pieces.BYTE else p.type
+
+    def with_own_piece(model):
+        model.pieces.add(piece="<mine>", score=0.0, type=pieces.USER_DEFINED)
+
+    def with_rules(model):
+        model.normalizer_spec.precompiled_charsmap = b"x"
+
+    assert pieces.Pieces.read(saved(lambda model: None)).encode("a b")
+    for change in (without_bytes, with_own_piece, with_rules):
+        with pytest.raises(ValueError):
+            pieces.Pieces.read(saved(change))
