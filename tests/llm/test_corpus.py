@@ -502,14 +502,16 @@ def test_pipeline(spark):
 
 
 def lines_by_brute_force_fast(texts):
-    """As above, with ``within`` (checked above) in place of the full table."""
-    seen, out = [], {}
+    """As above, with ``within`` (checked above) in place of the full table, and exact repeats of shorter lines."""
+    seen, short, out = [], [], {}
     for i, text in sorted(texts.items()):
         kept = []
         for line in text.split("\n"):
-            old = len(line) >= 20 and any(line_dedup.within(s, line, 2) for s in seen if abs(len(s) - len(line)) <= 2)
             if len(line) >= 20:
-                seen.append(line)
+                old = any(line_dedup.within(s, line, 2) for s in seen if abs(len(s) - len(line)) <= 2)
+            else:
+                old = line in short and line.strip(" \t\n\x0b\f\r") != ""
+            (seen if len(line) >= 20 else short).append(line)
             if not old:
                 kept.append(line)
         out[i] = "\n".join(kept)
