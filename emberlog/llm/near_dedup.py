@@ -1,7 +1,7 @@
 """Near-duplicate documents by SuperMinHash.
 
 1. A document's set: hashes of its distinct ``WIDTH``-word shingles (64 bits). Documents with equal sets (equal
-   128-bit digest of the sorted set) form a class; only its smallest id goes on.
+   128-bit digest of the sorted set) form a class; only one of its texts goes on.
 2. SuperMinHash: each element runs through the ``SIZE`` places of the signature in a random order of its own
    and offers ``step + random`` to each; a place keeps its least offer. Since later steps offer more,
    a document stops as soon as no place can still be improved: after two or three steps for long ones.
@@ -15,7 +15,7 @@ group. Buckets whose documents then are in one component are done. The others ar
 their first hub, with which all members of such a group share a band. Members outside the hub's component are
 compared with all members, block by block inside tasks: a block pair holds about ``BLOCK`` sets a side, counts all its intersections with array operations and hands on only the
 links that join components, so neither pairs nor intersections become rows and no link between
-different components is missed.
+different components is missed. A text goes once to each block of the other side.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import pin, table
+from emberlog.llm.common import own, pin, table
 from emberlog.llm.components import UnionFind, components
 
 WIDTH = 5
@@ -161,7 +161,7 @@ def band_hashes(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int, size: int, rows: int) -> DataFrame:
-    """(id, text) -> id, n, digest (of the set; null if empty), bands."""
+    """(id, mark, text) -> id, mark, n, digest (of the set; null if empty), bands."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = Shingler(width)
@@ -172,14 +172,15 @@ def sketches(docs: DataFrame, width: int, size: int, rows: int) -> DataFrame:
                 bands = band_hashes(super_minhash(sets, size), rows)
                 yield pd.DataFrame(
                     {
-                        "id": part["id"].to_numpy(),
+                        "id": part["id"],
+                        "mark": part["mark"],
                         "n": [len(s) for s in sets],
                         "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                         "bands": [b if len(s) else [] for s, b in zip(sets, bands, strict=True)],
                     }
                 )
 
-    return docs.select("id", "text").mapInPandas(run, "id bigint, n bigint, digest binary, bands array<bigint>")
+    return docs.select("id", "mark", "text").mapInPandas(run, "id bigint, mark bigint, n bigint, digest binary, bands array<bigint>")
 
 
 def linked(left: Column, right: Column, width: int, percent: int) -> Column:
@@ -231,71 +232,90 @@ def joining_links(left: pd.DataFrame, right: pd.DataFrame, width: int, percent:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def near_duplicates(
+def marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> id, mark, text; (id, mark) stands for a row, rows equal in both columns apart."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("mark"), "text")
+
+
+def judged(
     docs: DataFrame, width: int = WIDTH, size: int = SIZE, rows: int = ROWS, percent: int = PERCENT, hubs: int = HUBS, block: int = BLOCK
 ) -> DataFrame:
-    """(doc_id, text) -> doc_id, n_shingles, component_id, kept; one row per row of ``docs``.
+    """(doc_id, text) -> id, mark, n, component (an id; null where the id is null), group (null without a set).
 
-    Null texts and texts without words have an empty set, are linked with nothing and kept. Equal texts
-    are linked. Repeated ids are kept apart as rows but share the component of their id; of equal rows each
-    counts as kept if its id is the component's. A null id takes no part: no component, kept.
-    An empty table gives an empty result.
+    A *node* is a class of rows with equal sets, whatever their ids. ``group`` is the node that stands for
+    all rows linked with one another.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    texts = marked(docs)
     made = pin(sketches(texts, width, size, rows), "sketches")
     members = made.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
-    classes = pin(members.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
+    least = members.groupBy("digest").agg(F.min("id").alias("rep"))
+    classes = pin(least.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    reps = members.join(classes, "digest").where(F.col("id") == F.col("rep"))
-    posted = reps.select("id", "n", F.explode("bands").alias("band")).distinct()
+    # one row of each class: any of its texts has the class's set
+    reps = members.join(classes, "digest").where(F.col("id") == F.col("rep")).dropDuplicates(["digest"])
+    posted = reps.select("id", "mark", "node", "n", F.explode("bands").alias("band"))
     shared = posted.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     bucket = pin(posted.join(shared, "band"), "buckets")
-    wanted = bucket.groupBy("id").agg(F.sum("m").alias("score"))
-    body = pin(texts.join(wanted, "id").select("id", "text").dropDuplicates(["id"]), "texts")
+    wanted = bucket.groupBy("node").agg(F.sum("m").alias("score"))
+    chosen = bucket.select("id", "mark", "node").distinct()
+    body = pin(texts.join(chosen, ["id", "mark"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    bucket = bucket.select("node", "n", "band", "m")
 
-    scored = bucket.join(wanted, "id")
-    order = Window.partitionBy("band").orderBy(F.desc("score"), "id")
+    scored = bucket.join(wanted, "node")
+    order = Window.partitionBy("band").orderBy(F.desc("score"), "node")
     top = scored.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= hubs)
-    top = top.select("band", F.col("id").alias("b"), F.col("n").alias("_n"))
+    top = top.select("band", F.col("node").alias("b"), F.col("n").alias("_n"))
     bound = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent
-    pairs = bucket.join(top, "band").where(bound & (F.col("id") != F.col("b")))
-    pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
-    one = body.select(F.col("id").alias("a"), F.col("text").alias("_s"))
-    two = body.select(F.col("id").alias("b"), F.col("text").alias("_t"))
+    pairs = bucket.join(top, "band").where(bound & (F.col("node") != F.col("b")))
+    pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
+    one = body.select(F.col("node").alias("a"), F.col("text").alias("_s"))
+    two = body.select(F.col("node").alias("b"), F.col("text").alias("_t"))
     found = pairs.join(one, "a").join(two, "b").where(linked(F.col("_t"), F.col("_s"), width, percent))
-    labels = components(pin(found.select("a", "b"), "links"))
+    labels = components(pin(found.select("a", "b"), "links")).withColumnRenamed("id", "node")
 
-    named = bucket.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = named.join(wanted, "id")
-    hub = F.max_by(F.struct("id", "component"), F.struct("score", -F.col("id")))
+    named = bucket.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = named.join(wanted, "node")
+    hub = F.max_by(F.struct("node", "component"), F.struct("score", -F.col("node")))
     state = named.groupBy("band").agg(hub.alias("_h"), F.count_distinct("component").alias("_k")).where("_k > 1")
     # buckets with the same hub make one group: all its members share a band with the hub
-    group = named.join(state, "band").select(F.col("_h.id").alias("hub"), F.col("_h.component").alias("_hub"), "id", "component")
+    group = named.join(state, "band").select(F.col("_h.node").alias("hub"), F.col("_h.component").alias("_hub"), "node", "component")
     rest = pin(group.distinct(), "rest")
     counts = rest.groupBy("hub").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("component") != F.col("_hub")).alias("u"))
     sized = rest.join(counts.where("u > 0"), "hub").withColumns(
-        {"nu": F.ceil(F.col("u") / block), "nm": F.ceil(F.col("m") / block), "_x": F.xxhash64("id")}
+        {"nu": F.ceil(F.col("u") / block), "nm": F.ceil(F.col("m") / block), "_x": F.xxhash64("node")}
     )
     blocks = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     mine = lambda n: F.pmod("_x", F.col(n))
-    left = sized.where(F.col("component") != F.col("_hub")).select("hub", "id", "component", mine("nu").alias("i"), blocks("nm").alias("j"))
-    right = sized.select("hub", "id", "component", blocks("nu").alias("i"), mine("nm").alias("j"))
-    text = body.select("id", "text")
+    left = sized.where(F.col("component") != F.col("_hub")).select("hub", "node", "component", mine("nu").alias("i"), blocks("nm").alias("j"))
+    right = sized.select("hub", "node", "component", blocks("nu").alias("i"), mine("nm").alias("j"))
     names = ["hub", "i", "j", "component", "text"]
-    left, right = (x.join(text, "id").select(*names).toDF(*names) for x in (left, right))
+    left, right = (x.join(body, "node").select(*names).toDF(*names) for x in (left, right))
     compared = left.groupBy("hub", "i", "j").cogroup(right.groupBy("hub", "i", "j"))
     more = pin(compared.applyInPandas(lambda a, b: joining_links(a, b, width, percent), "a bigint, b bigint"), "links")
     above = components(more).select(F.col("id").alias("component"), F.col("component").alias("_up"))
-    labels = labels.join(above, "component", "left").select("id", F.coalesce("_up", "component").alias("component"))
-    # components of single documents that only the blocks linked
-    single = above.join(labels, F.col("id") == above["component"], "left_anti")
-    labels = labels.union(single.select(F.col("component").alias("id"), F.col("_up").alias("component")))
-
-    by_set = classes.join(labels, F.col("rep") == F.col("id"), "left")
-    by_set = by_set.select("digest", F.coalesce("component", "rep").alias("component"))
-    out = made.join(by_set, "digest", "left").withColumn(
-        "component", F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    )
+    labels = labels.join(above, "component", "left").select("node", F.coalesce("_up", "component").alias("group"))
+    # components of single classes that only the blocks linked
+    single = above.join(labels, F.col("node") == above["component"], "left_anti")
+    labels = labels.union(single.select(F.col("component").alias("node"), F.col("_up").alias("group")))
+
+    grouped = pin(classes.join(labels, "node", "left").withColumn("group", F.coalesce("group", "node")), "groups")
+    lowest = grouped.join(labels.select("group").distinct(), "group", "left_semi").groupBy("group").agg(F.min("rep").alias("_low"))
+    by_set = grouped.join(lowest, "group", "left").select("digest", "group", F.coalesce("_low", "rep").alias("component"))
+    out = made.drop("bands").join(by_set, "digest", "left")
+    return out.select(
+        "id", "mark", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"), "group"
+    )
+
+
+def near_duplicates(docs: DataFrame, **params: int) -> DataFrame:
+    """(doc_id, text) -> doc_id, n_shingles, component_id, kept; one row per row of ``docs``.
+
+    Null texts and texts without words have an empty set, are linked with nothing and kept. Equal texts
+    are linked. Rows of a repeated id are documents of their own: each has the component of its text, and each
+    counts as kept if its id is that component's. A null id takes no part: no component, kept.
+    An empty table gives an empty result.
+    """
+    out = judged(docs, **params)
     return out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
         F.coalesce(F.col("component") == F.col("id"), F.lit(True)).alias("kept"),
@@ -303,12 +323,26 @@ def near_duplicates(
 
 
 def without_near_duplicates(docs: DataFrame, **params: int) -> DataFrame:
-    """The rows of ``docs`` whose id is its component's, one row per id that has words; columns as given."""
-    judged = near_duplicates(docs, **params)
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("bigint") == gone["_id"], "left_anti")
-    return kept
+    """One row of each group of linked rows: one with the least id; columns as given.
+
+    Among rows of that id it is the one whose text has the least hash, and of rows equal in id and text any one.
+    Two texts under one id that are not linked both stay. Rows without words or without an id all stay.
+    """
+    out = pin(judged(docs, **params), "judged")
+    sets = out.where(F.col("group").isNotNull() & F.col("id").isNotNull())
+    first = sets.where(F.col("id") == F.col("component")).groupBy("group").agg(F.min("mark").alias("_first"))
+    rows = sets.groupBy("id", "mark", "component", "group").agg(F.count(F.lit(1)).alias("_times")).join(first, "group")
+    stays = (F.col("id") == F.col("component")) & (F.col("mark") == F.col("_first"))
+    key_id, key_mark = own("id"), own("mark")
+    key = [F.col("id").alias(key_id), F.col("mark").alias(key_mark)]
+    gone, again = rows.where(~stays).select(*key), rows.where(stays & (F.col("_times") > 1)).select(*key)
+    here = docs.withColumns({key_id: F.col("doc_id").cast("bigint"), key_mark: F.xxhash64("text")})
+    kept = here.join(gone, [key_id, key_mark], "left_anti")
+    single = kept.join(again, [key_id, key_mark], "left_anti")
+    repeated = kept.join(again, [key_id, key_mark], "left_semi").dropDuplicates([key_id, key_mark])
+    return single.unionByName(repeated).select(*docs.columns)
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set, its component, and whether it stays."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -124,6 +124,20 @@ def test_repeated_and_null_ids(rows):
     assert sorted(x["doc_id"] or -1 for x in near_dedup.without_near_duplicates(df).collect()) == [-1, -1, 2]
 
 
+def test_two_texts_under_one_id(rows):
+    r = random.Random(4)
+    a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(30)) for _ in range(3))
+    data = [(1, a), (2, b), (2, a + " more"), (4, a), (1, a), (5, b + " more"), (7, c), (7, c + " more"), (8, None), (8, "")]
+    df = rows([x + ("extra",) for x in data], "doc_id bigint, text string, id string").repartition(4)
+    got = sorted((x["doc_id"], x["component_id"], x["kept"]) for x in near_dedup.near_duplicates(df).collect())
+    want = [(1, 1, True), (1, 1, True), (2, 1, False), (2, 2, True), (4, 1, False), (5, 2, False), (7, 7, True), (7, 7, True)]
+    assert got == want + [(8, 8, True), (8, 8, True)]
+    kept = near_dedup.without_near_duplicates(df)
+    texts = Counter((x["doc_id"], x["text"]) for x in kept.collect())
+    one = [x for x in texts if x[0] == 7]
+    assert texts == {(1, a): 1, (2, b): 1, one[0]: 1, (8, None): 1, (8, ""): 1} and kept.columns == df.columns
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(1)
     off = []
