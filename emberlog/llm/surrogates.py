@@ -41,7 +41,8 @@ VALUE = (
     r"(?<=(?i:password|passwd|pwd|token|secret|api[_\-]?key)\x22?\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9+/_\-]{8,}={0,2}"
 )
 ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
+#: Four numbers behind a word for a version are no address.
+IP = r"(?<![\d.])(?<!(?i:version|release|build)[.: ]{0,2})(?<![Vv]\.?)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 CARD = r"(?<![\d.])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?!\d)"
 SOCIAL = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 PHONE = (
@@ -159,7 +160,10 @@ def drawn(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     local, host = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     last = F.substring_index(host, ".", -1)
     reserved = F.when(last.isin("com", "net", "org"), last).otherwise("com")
-    mail = F.concat(each_char(local, like), F.lit("@mail"), F.pmod(byte(40), F.lit(100)).cast("string"), F.lit(".example."), reserved)
+    # a drawing that collided widens the space of hosts
+    wide = F.conv(F.substring(digest, F.lit(81), F.least(attempt, F.lit(5)) * 2 + 2), 16, 10)
+    number_of_host = F.when(attempt > 0, wide).otherwise(F.pmod(byte(40), F.lit(100)).cast("string"))
+    mail = F.concat(each_char(local, like), F.lit("@mail"), number_of_host, F.lit(".example."), reserved)
     key_body = F.concat(F.substring(canon, 1, 4), F.substring(same_shape, F.lit(5), F.length(canon)))
     hexadecimal = each_char(canon, lambda c, i: picked("0123456789abcdef", i))
     secret = (
@@ -236,18 +240,34 @@ def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.withColumn("_hits", full).drop("_raw")
 
 
+def group_of(kind: Column) -> Column:
+    """Given names of any gender are one group of kinds; every other kind is a group of its own."""
+    return F.regexp_replace(kind, "-[fm]$", "")
+
+
+def distinct_entities(spots: DataFrame) -> DataFrame:
+    """(kind, canon) of mentions -> kind, canon, one row per entity: a given name has the gender of most of its titles
+    that tell one (feminine where they are even), whichever title a single mention has."""
+    female, male = (F.count_if(F.col("kind") == k) for k in ("given-f", "given-m"))
+    counted = spots.groupBy(group_of(F.col("kind")).alias("_group"), "canon").agg(female.alias("_f"), male.alias("_m"))
+    gender = F.when(F.col("_f") + F.col("_m") == 0, "").when(F.col("_f") >= F.col("_m"), "-f").otherwise("-m")
+    return counted.select(F.concat("_group", gender).alias("kind"), "canon")
+
+
 def assigned(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon), distinct -> kind, canon, surrogate without collisions.
+    """(kind, canon), distinct -> kind, canon, surrogate without collisions in a group of kinds.
 
     Each round settles, for every surrogate, the entity that holds it already or else the least, unless the
-    surrogate is itself an entity of that kind; all others draw again.
+    surrogate is itself an entity of that group; all others draw again.
     """
     start = entities.withColumn("attempt", F.lit(0)).withColumn("settled", F.lit(False))
     now = pin(start.withColumn("surrogate", drawn(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "surrogates")
-    real = entities.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("_real"))
+    group = group_of(F.col("kind")).alias("_group")
+    real = entities.select(group, F.col("canon").alias("surrogate"), F.lit(True).alias("_real"))
     for _ in range(ROUNDS):
-        first = now.groupBy("kind", "surrogate").agg(F.min(F.struct(~F.col("settled"), "canon")).alias("_first"))
-        judged = now.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
+        now = now.select("*", group)
+        first = now.groupBy("_group", "surrogate").agg(F.min(F.struct(~F.col("settled"), "canon")).alias("_first"))
+        judged = now.join(first, ["_group", "surrogate"]).join(real, ["_group", "surrogate"], "left")
         fine = (F.col("_first.canon") == F.col("canon")) & F.col("_real").isNull()
         judged = pin(judged.select("kind", "canon", "attempt", "surrogate", fine.alias("settled")), "judged")
         if not judged.where(~F.col("settled")).limit(1).count():
@@ -281,8 +301,9 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         found.select("_doc", "_hash", F.posexplode("_hits").alias("at", "hit")).select("_doc", "_hash", "at", "hit.*").distinct(),
         "mentions",
     )
-    entities = pin(spots.select("kind", "canon").distinct(), "entities")
-    pairs = spots.join(assigned(entities, key), ["kind", "canon"])
+    entities = pin(distinct_entities(spots), "entities")
+    settled = assigned(entities, key).withColumn("_group", group_of(F.col("kind")))
+    pairs = spots.withColumn("_group", group_of(F.col("kind"))).drop("kind").join(settled, ["_group", "canon"])
     new = F.struct("at", poured(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"), "kind")
     per_doc = pairs.groupBy(F.col("_doc").alias("_d"), F.col("_hash").alias("_h")).agg(F.sort_array(F.collect_list(new)).alias("_new"))
     same = held["_doc"].eqNullSafe(per_doc["_d"]) & (held["_hash"] == per_doc["_h"])

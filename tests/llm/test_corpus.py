@@ -313,6 +313,27 @@ def test_surrogates_are_distinct_and_no_entity_of_the_corpus(rows):
     assert len({x["text"] for x in replaced(rows, [(i, f"{c} {c}") for i, c in enumerate(cards)]).values()}) == 50
 
 
+def test_one_person_under_several_titles(rows):
+    data = [(1, "Dr. Maria Lopez and Mrs. Maria Lopez"), (2, "we met Prof. MARIA Lopez, then Mr. Jan Lopez"), (3, "Dr. Jan Meyer")]
+    got = replaced(rows, data)
+    a = re.fullmatch(r"Dr. (\w+) (\w+) and Mrs. (\w+) (\w+)", got[1]["text"])
+    b = re.fullmatch(r"we met Prof. (\w+) (\w+), then Mr. (\w+) (\w+)", got[2]["text"])
+    c = re.fullmatch(r"Dr. (\w+) (\w+)", got[3]["text"])
+    assert a[1] == a[3] == b[1].capitalize() and a[1].endswith("a") and b[1].isupper()
+    assert a[2] == a[4] == b[2] == b[4] != c[2] and b[3] == c[1] != a[1] and not b[3].endswith("a")
+
+
+def test_versions_are_no_addresses(rows):
+    data = [(i, t) for i, t in enumerate(("Version 1.2.3.4", "build: 11.2.3.4", "v10.2.3.4", "release 10.20.30.40", "server 11.2.3.4"))]
+    assert [replaced(rows, data)[i]["n_entities"] for i in range(5)] == [0, 0, 0, 0, 1]
+
+
+def test_more_addresses_than_one_shape_has(rows):
+    """One-letter local parts: more than 26 letters times 100 hosts."""
+    data = [(i, f"{'abcdefghijklmnopqrstuvwxyz'[i % 26]}@site{i}.de") for i in range(2700)]
+    assert len({x["text"] for x in replaced(rows, data).values()}) == 2700
+
+
 def test_collisions_are_redrawn(rows, monkeypatch):
     from pyspark.sql import functions as F
 
