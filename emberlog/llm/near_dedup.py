@@ -299,7 +299,8 @@ def judged(
     labels = labels.union(single.select(F.col("component").alias("node"), F.col("_up").alias("group")))
 
     grouped = pin(classes.join(labels, "node", "left").withColumn("group", F.coalesce("group", "node")), "groups")
-    lowest = grouped.join(labels.select("group").distinct(), "group", "left_semi").groupBy("group").agg(F.min("rep").alias("_low"))
+    several = grouped.groupBy("group").agg(F.min("rep").alias("_low"), F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    lowest = pin(several.drop("_m"), "lowest")
     by_set = grouped.join(lowest, "group", "left").select("digest", "group", F.coalesce("_low", "rep").alias("component"))
     out = made.drop("bands").join(by_set, "digest", "left")
     return out.select(
