@@ -42,7 +42,7 @@ VALUE = (
 )
 ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 #: Four numbers behind a word for a version are no address.
-IP = r"(?<![\d.])(?<!(?i:version|release|build)[.: ]{0,2})(?<![Vv]\.?)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
+IP = r"(?=\d)(?<![\d.])(?<!(?i:version|release|build)[.: ]{0,2})(?<![Vv]\.?)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 CARD = r"(?<![\d.])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?!\d)"
 SOCIAL = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 PHONE = (
