@@ -8,7 +8,7 @@
    given names with an ending of the same gender, addresses under reserved domains.
 3. Collision checks: no two entities of a kind may share a surrogate and no surrogate may be an entity
    of the corpus. Whoever fails draws again, until nobody does.
-4. Texts are rebuilt: the surrogate is poured back into the shape of each mention (separators, country code, capitals).
+4. Texts, cut at their entities once in step 1, are rebuilt: the surrogate is poured back into the shape of each mention (separators, country code, capitals).
 
 So the same entity reads the same everywhere and different ones stay different. All of it is built-in
 functions. Most texts have no digit, @, key or title at all; these are neither searched nor joined nor shuffled. An entity that a third of all documents
@@ -33,11 +33,11 @@ MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Господин|Κύριος"
 OTHER = "Dr|Prof"
 TITLE = f"(?:{FEMALE}|{MALE}|{OTHER})"
 
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}"
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}"
 KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])gh[opsu]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"
 #: The value behind a keyword; the keyword stays.
 VALUE = (
-    r"(?<=[=:\s\x22'])(?=[A-Za-z0-9+/_\-]{8})"
+    r"(?<=[=:\s\x22'])(?=[A-Za-z0-9+/_\-]{8})(?<=[=:][\s\x22']{0,3})"
     r"(?<=(?i:password|passwd|pwd|token|secret|api[_\-]?key)\x22?\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9+/_\-]{8,}={0,2}"
 )
 ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
@@ -55,6 +55,10 @@ NAME = (
     rf"|(?<=(?<!\p{{L}}){TITLE}\.?\s{{1,2}}\p{{Lu}}[\p{{L}}'\-]{{1,24}}\s))\p{{Lu}}[\p{{L}}'\-]*\p{{L}}"
 )
 PATTERN = "|".join((EMAIL, KEY, VALUE, ACCOUNT, IP, SOCIAL, PHONE, CARD, NAME))
+#: Stands around entities in marked texts; no character of any script. Texts that hold it are cut by two searches.
+MARK = "\ufdd0"
+#: Characters before a match that tell its kind: the longest title or keyword with what may follow it is shorter.
+CONTEXT = 40
 
 #: Every entity has a digit, an @, the head of a key, or one of these parts of a title before it; all titles hold one.
 STEMS = (
@@ -83,6 +87,7 @@ SYLLABLES = {
 
 def kind_of(match: Column, before: Column, after: Column, following: Column) -> Column:
     """Kind of a match, from itself, the text before and after it, and the match that follows."""
+    before, after = F.substring(before, -CONTEXT, CONTEXT), F.substring(after, 1, 3)
     name = r"^\p{Lu}[\p{L}'\-]*\p{L}$"
     ends = lambda titles: before.rlike(rf"(?<!\p{{L}})(?:{titles})\.?\s{{1,2}}$")
     given = after.rlike(r"^\s$") & F.coalesce(following.rlike(name), F.lit(False))
@@ -225,19 +230,22 @@ def suspected(text: Column) -> Column:
     return F.coalesce(text.contains("@") | text.rlike("[0-9]") | titled | headed | keyed, F.lit(False))
 
 
-def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_hits``: array of (kind, raw, canon) of the text's entities in order, and ``_parts``: what lies between."""
-    hits = F.regexp_extract_all(F.col(text), F.lit(f"({PATTERN})"), F.lit(1))
-    parts = F.split(F.col(text), PATTERN, -1)
-    found = docs.withColumns({"_raw": hits, "_parts": parts})
+def pieces(text: Column) -> Column:
+    """The text cut at its entities: what lies before, an entity, what lies between, an entity, ..., what lies behind."""
+    once = F.split(F.regexp_replace(text, PATTERN, f"{MARK}$0{MARK}"), MARK, -1)
+    hits = F.transform(F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)), lambda m: F.array(m))
+    twice = F.zip_with(F.transform(F.split(text, PATTERN, -1), lambda p: F.array(p)), hits, lambda p, m: F.concat(p, F.coalesce(m, F.array())))
+    return F.when(text.contains(MARK), F.flatten(twice)).otherwise(once)
+
+
+def mentions(cut: Column) -> Column:
+    """``pieces`` of a text -> array of (kind, raw, canon) of its entities in order."""
+    at = lambda i: F.get(cut, 2 * i + 1)
     named = F.transform(
-        F.col("_raw"),
-        lambda m, i: F.struct(
-            kind_of(m, F.get("_parts", i), F.get("_parts", i + 1), F.get("_raw", i + 1)).alias("kind"), m.alias("raw")
-        ),
+        F.filter(cut, lambda _, i: i % 2 == 1),
+        lambda m, i: F.struct(kind_of(m, F.get(cut, 2 * i), F.get(cut, 2 * i + 2), at(i + 1)).alias("kind"), m.alias("raw")),
     )
-    full = F.transform(named, lambda h: F.struct(h["kind"].alias("kind"), h["raw"].alias("raw"), canonical(h["kind"], h["raw"]).alias("canon")))
-    return found.withColumn("_hits", full).drop("_raw")
+    return F.transform(named, lambda h: F.struct(h["kind"].alias("kind"), h["raw"].alias("raw"), canonical(h["kind"], h["raw"]).alias("canon")))
 
 
 def group_of(kind: Column) -> Column:
@@ -288,17 +296,22 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     kept = [c for c in docs.columns if c not in ("n_entities", "kinds")]
     docs = docs.select(*kept)
-    clean = docs.where(~suspected(F.col(text))).select(
-        *kept, F.lit(0).cast("bigint").alias("n_entities"), F.array().cast("array<string>").alias("kinds")
-    )
+    none = F.lit(0).cast("bigint").alias("n_entities"), F.array().cast("array<string>").alias("kinds")
+    clean = docs.where(~suspected(F.col(text))).select(*kept, *none)
     # the columns of the input travel in one struct, out of the way of the names used here
-    held = docs.where(suspected(F.col(text))).select(
-        F.struct(*kept).alias("_row"), F.col(text).alias("_text"), F.col("doc_id").cast("string").alias("_doc"),
-        F.xxhash64("doc_id", text).alias("_hash"),
+    rest = [c for c in kept if c != text]
+    cut = pin(
+        docs.where(suspected(F.col(text))).select(
+            F.struct(*rest).alias("_row"), pieces(F.col(text)).alias("_cut"), F.col("doc_id").cast("string").alias("_doc"),
+            F.xxhash64("doc_id", text).alias("_hash"),
+        ),
+        "cut",
     )
-    found = mentions(held.select("_doc", "_hash", "_text"), "_text").select("_doc", "_hash", "_hits")
+    back = lambda new: [new.alias(c) if c == text else F.col("_row")[c].alias(c) for c in kept]
+    spared = cut.where(F.size("_cut") == 1).select(*back(F.get("_cut", F.lit(0))), *none)
+    held = cut.where(F.size("_cut") > 1)
     spots = pin(
-        found.select("_doc", "_hash", F.posexplode("_hits").alias("at", "hit")).select("_doc", "_hash", "at", "hit.*").distinct(),
+        held.select("_doc", "_hash", F.posexplode(mentions(F.col("_cut"))).alias("at", "hit")).select("_doc", "_hash", "at", "hit.*").distinct(),
         "mentions",
     )
     entities = pin(distinct_entities(spots), "entities")
@@ -307,17 +320,12 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     new = F.struct("at", poured(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"), "kind")
     per_doc = pairs.groupBy(F.col("_doc").alias("_d"), F.col("_hash").alias("_h")).agg(F.sort_array(F.collect_list(new)).alias("_new"))
     same = held["_doc"].eqNullSafe(per_doc["_d"]) & (held["_hash"] == per_doc["_h"])
-    fills = F.concat(F.transform("_new", lambda x: x["new"]), F.array(F.lit("")))
-    parts = F.split("_text", PATTERN, -1)
-    rebuilt = F.array_join(F.zip_with(parts, fills, lambda p, n: F.concat(p, n)), "")
-    whole = F.when(F.col("_new").isNull(), F.col("_text")).otherwise(rebuilt)
+    rebuilt = F.array_join(F.transform("_cut", lambda p, i: F.when(i % 2 == 0, p).otherwise(F.get("_new", F.floor(i / 2).cast("int"))["new"])), "")
     kinds = F.array_sort(F.array_distinct(F.transform("_new", lambda x: x["kind"])))
-    changed = held.join(per_doc, same, "left").select(
-        *[whole.alias(text) if c == text else F.col("_row")[c].alias(c) for c in kept],
-        F.coalesce(F.size("_new"), F.lit(0)).cast("bigint").alias("n_entities"),
-        F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds"),
+    changed = held.join(per_doc, same).select(
+        *back(rebuilt), F.size("_new").cast("bigint").alias("n_entities"), kinds.alias("kinds")
     )
-    return clean.unionByName(changed)
+    return clean.unionByName(spared).unionByName(changed)
 
 
 def op4_surrogates(spark, sf_dir: str) -> DataFrame:

@@ -344,6 +344,14 @@ def test_collisions_are_redrawn(rows, monkeypatch):
     assert got == {"a": "same", "b": "b2", "c": "c1", "b1": "b11"}
 
 
+def test_a_text_that_holds_the_mark_is_cut_alike(rows):
+    plain = "{}Mrs. Ann Lee wrote to ann.lee@site.org{}from 10.20.30.40\n\nMr. Lee{}"
+    got = replaced(rows, [(1, plain.format("", " ", "")), (2, plain.format(surrogates.MARK, f" {surrogates.MARK} ", surrogates.MARK))])
+    assert got[1]["n_entities"] == got[2]["n_entities"] == 5
+    assert got[2]["text"].replace(surrogates.MARK, "").replace("  ", " ") == got[1]["text"]
+    assert got[2]["text"].count(surrogates.MARK) == 3
+
+
 def test_rows_around_surrogates(rows):
     df = rows([(None, "a@b.de"), (1, "a@b.de"), (1, "a@b.de"), (2, "x" * 50_000 + " a@b.de " + "y " * 20_000)])
     got = surrogates.with_surrogates(df, "k").collect()
