@@ -8,7 +8,8 @@ A line of at least ``MIN_CHARS`` characters goes if an earlier line of the corpu
   shorter one, at a place of the longer one that the edits before and behind it allow. So each line is
   posted under its segments (with its length) and probes the few substrings that can meet a segment of lines
   of its own length or up to ``MAX_EDITS`` less.
-* Postings and probes are two numbers a row, shuffled once by the hash of the substring. A sorted stream
+* Postings and probes are two numbers a row, shuffled once by the hash of the substring, whose lowest bit
+  gives way to the role, so that postings sort before the probes they meet. A sorted stream
   over them yields candidate pairs; it holds at most ``FEW`` postings of a substring.
 * Under a substring with more postings than that no pairs are made. Its lines come with their texts, in order of
   their first spots, and each is compared with the earlier ones inside the task until one is near. Only lines
@@ -137,7 +138,8 @@ def within(a: str, b: str, edits: int) -> bool:
 
 
 def postings(docs: DataFrame, edits: int, least: int) -> DataFrame:
-    """(text) -> key, lid, role: lines' postings and probes; each task names a line once as long as it remembers."""
+    """(text) -> key, lid: lines' postings (even keys) and probes (the odd key behind); each task names a line once as
+    long as it remembers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -164,12 +166,13 @@ def postings(docs: DataFrame, edits: int, least: int) -> DataFrame:
                     roles.append((len(posted), len(probed)))
             key = np.array(keys, dtype=np.uint64).view(np.int64)
             lid = np.repeat(np.array(lids, dtype=np.uint64).view(np.int64), sizes)
-            role = np.repeat(np.tile(np.array([POSTED, PROBED], dtype=np.int8), len(roles)), np.array(roles, dtype=np.int64).ravel())
+            probe = np.repeat(np.tile(np.array([0, 1]), len(roles)), np.array(roles, dtype=np.int64).ravel())
+            key = key & ~1 | probe
             for i in range(0, len(key), 200_000):
                 part = slice(i, i + 200_000)
-                yield pd.DataFrame({"key": key[part], "lid": lid[part], "role": role[part]})
+                yield pd.DataFrame({"key": key[part], "lid": lid[part]})
 
-    return docs.select("text").mapInPandas(run, "key bigint, lid bigint, role tinyint")
+    return docs.select("text").mapInPandas(run, "key bigint, lid bigint")
 
 
 def candidates(rows: DataFrame, few: int = FEW) -> DataFrame:
@@ -178,35 +181,33 @@ def candidates(rows: DataFrame, few: int = FEW) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held, crowded = None, [], False
-        carried = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int8))
+        carried = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
             # the last row waits for the next batch, so that a row's neighbours are always known
-            keys, lids, roles = (
-                np.concatenate([c, batch[name].to_numpy()]) for c, name in zip(carried, ("key", "lid", "role"), strict=True)
-            )
-            carried = keys[-1:], lids[-1:], roles[-1:]
+            keys, lids = (np.concatenate([c, batch[name].to_numpy()]) for c, name in zip(carried, ("key", "lid"), strict=True))
+            carried = keys[-1:], lids[-1:]
             if len(keys) < 2:
                 continue
-            same = keys[1:] == keys[:-1]
+            same = keys[1:] >> 1 == keys[:-1] >> 1
             shared = np.concatenate([same, [False]])[:-1] | np.concatenate([[False], same])[:-1]
-            if key is not None and keys[0] == key:
+            if key is not None and keys[0] >> 1 == key:
                 shared[0] = True
             for i in np.flatnonzero(shared).tolist():
-                key, held, crowded = step(int(keys[i]), int(lids[i]), int(roles[i]), key, held, crowded, out)
+                key, held, crowded = step(int(keys[i]), int(lids[i]), key, held, crowded, out)
             if out:
                 yield pd.DataFrame(out, columns=["kind", "key", "a", "b"])
         out = []
-        for k, lid, role in zip(*(c.tolist() for c in carried), strict=True):
-            if k == key:
-                step(k, lid, role, key, held, crowded, out)
+        for k, lid in zip(*(c.tolist() for c in carried), strict=True):
+            if k >> 1 == key:
+                step(k, lid, key, held, crowded, out)
         if out:
             yield pd.DataFrame(out, columns=["kind", "key", "a", "b"])
 
-    def step(k: int, lid: int, role: int, key: int | None, held: list[int], crowded: bool, out: list) -> tuple[int, list[int], bool]:
-        if k != key:
-            key, held, crowded = k, [], False
-        if role == POSTED:
+    def step(k: int, lid: int, key: int | None, held: list[int], crowded: bool, out: list) -> tuple[int, list[int], bool]:
+        if k >> 1 != key:
+            key, held, crowded = k >> 1, [], False
+        if k % 2 == 0:
             if held and held[-1] == lid:
                 return key, held, crowded  # the same line from another task
             if len(held) < few:
@@ -222,7 +223,7 @@ def candidates(rows: DataFrame, few: int = FEW) -> DataFrame:
             out += [(PAIR, key, lid, x) for x in held if x != lid]
         return key, held, crowded
 
-    ordered = rows.repartition("key").sortWithinPartitions("key", "role", "lid")
+    ordered = rows.repartition(F.shiftright("key", 1)).sortWithinPartitions("key", "lid")
     return ordered.mapInPandas(run, "kind tinyint, key bigint, a bigint, b bigint")
 
 
@@ -241,15 +242,15 @@ def keyed(docs: DataFrame) -> DataFrame:
 def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:
     """(doc_id, text) -> rows (_doc, _hash, pos): the lines that go; below ``least`` characters only exact repeats."""
     docs = keyed(docs.select("doc_id", "text"))
-    lines = docs.select("doc_id", "_doc", "_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = docs.select("doc_id", "_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     short = (F.char_length("line") >= shortest) & F.col("line").rlike(f"[^{SPACE}]")
     lines = lines.where((F.char_length("line") >= least) | short)
     spots = lines.select(
-        F.unhex(F.md5("line")).alias("digest"), F.xxhash64("line").alias("lid"), F.struct("doc_id", "_hash", "pos").alias("spot"), "_doc"
+        F.unhex(F.md5("line")).alias("digest"), F.xxhash64("line").alias("lid"), F.struct("doc_id", "_hash", "pos").alias("spot")
     )
     firsts = pin(
-        spots.groupBy("digest", "lid").agg(F.min(F.struct("spot", "_doc")).alias("f"), F.count(F.lit(1)).alias("n"))
-        .select("digest", "lid", F.col("f.spot").alias("spot"), F.col("f._doc").alias("_doc"), "n"),
+        spots.groupBy("digest", "lid").agg(F.min("spot").alias("spot"), F.count(F.lit(1)).alias("n"))
+        .withColumn("_doc", F.col("spot.doc_id").cast("string")),
         "lines",
     )
     met = pin(candidates(postings(docs, edits, least)), "candidates")
@@ -265,7 +266,7 @@ def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CH
     marked = firsts.join(gone.withColumn("_gone", F.lit(True)), "digest", "left")
     marked = marked.where(F.col("_gone") | (F.col("n") > 1)).select("digest", "_gone", F.col("spot").alias("_first"))
     hit = spots.join(marked, "digest").where(F.col("_gone").isNotNull() | (F.col("spot") != F.col("_first")))
-    return hit.select("_doc", F.col("spot._hash").alias("_hash"), F.col("spot.pos").alias("pos"))
+    return hit.select(F.col("spot.doc_id").cast("string").alias("_doc"), F.col("spot._hash").alias("_hash"), F.col("spot.pos").alias("pos"))
 
 
 def texts_of(wanted: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
