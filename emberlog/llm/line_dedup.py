@@ -382,10 +382,11 @@ def without_duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int
     rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     held = docs.select(F.struct(*rest).alias("_row"), "text", F.col("doc_id").cast("string").alias("_doc"), F.xxhash64("doc_id", "text").alias("_hash"))
     same = held["_doc"].eqNullSafe(drop["_d"]) & (held["_hash"] == drop["_h"])
-    lines = F.split("text", "\n")
+    lines = F.col("_lines")  # a column of its own: inside a transform the split would run once a line
     whole = F.sequence(F.lit(0), F.size(lines) - 1)
     kept = F.array_join(F.transform(F.array_except(whole, "_drop"), lambda i: F.get(lines, i)), "\n")
-    joined = held.join(drop, same, "left").withColumn("_new", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept))
+    joined = held.join(drop, same, "left").withColumn("_lines", F.split("text", "\n"))
+    joined = joined.withColumn("_new", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept))
     out = {c: F.col("_row")[c] for c in rest} | {"text": F.col("_new")}
     if "n_chars" in docs.columns:
         fits = F.char_length("_new").cast(docs.schema["n_chars"].dataType)
