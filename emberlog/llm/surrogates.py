@@ -268,7 +268,9 @@ def assigned(entities: DataFrame, key: str) -> DataFrame:
     Each round settles, for every surrogate, the entity that holds it already or else the least, unless the
     surrogate is itself an entity of that group; all others draw again.
     """
-    start = entities.withColumn("attempt", F.lit(0)).withColumn("settled", F.lit(False))
+    # the draw is heavy for its bytes: a stated number keeps adaptive execution from merging it into one task
+    spread = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = entities.repartition(spread, "kind", "canon").withColumn("attempt", F.lit(0)).withColumn("settled", F.lit(False))
     now = pin(start.withColumn("surrogate", drawn(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "surrogates")
     group = group_of(F.col("kind")).alias("_group")
     real = entities.select(group, F.col("canon").alias("surrogate"), F.lit(True).alias("_real"))
