@@ -5,7 +5,7 @@
 2. The distinct entities of the corpus, in a canonical form (a number without its separators, an address in lower
    case, one entry per name), get a surrogate from a keyed digest: digits for digits and letters
    of the same case and script for letters, card numbers with a right check digit where the original has one,
-   given names with an ending of the same gender, addresses under reserved domains.
+   given names with an ending of the same gender, addresses under reserved domains, private IPv6 addresses.
 3. Collision checks: no two entities of a kind may share a surrogate and no surrogate may be an entity
    of the corpus. Whoever fails draws again, until nobody does.
 4. Texts, cut at their entities once in step 1, are rebuilt: the surrogate is poured back into the shape of each mention (separators, country code, capitals).
@@ -43,6 +43,11 @@ VALUE = (
 ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 #: Four numbers behind a word for a version are no address.
 IP = r"(?=\d)(?<![\d.])(?<!(?i:version|release|build)[.: ]{0,2})(?<![Vv]\.?)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
+#: Eight groups, or fewer around a double colon; the first has four digits, as in all public ranges, and one digit at least is no letter.
+IP6 = (
+    r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{4}:)(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{4}(?::[0-9A-Fa-f]{1,4}){7}"
+    r"|[0-9A-Fa-f]{4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])"
+)
 CARD = r"(?<![\d.])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?!\d)"
 SOCIAL = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 PHONE = (
@@ -54,7 +59,7 @@ NAME = (
     rf"(?=\p{{Lu}}\p{{L}})(?<=\s)(?:(?<=(?<!\p{{L}}){TITLE}\.?\s{{1,2}})"
     rf"|(?<=(?<!\p{{L}}){TITLE}\.?\s{{1,2}}\p{{Lu}}[\p{{L}}'\-]{{1,24}}\s))\p{{Lu}}[\p{{L}}'\-]*\p{{L}}"
 )
-PATTERN = "|".join((EMAIL, KEY, VALUE, ACCOUNT, IP, SOCIAL, PHONE, CARD, NAME))
+PATTERN = "|".join((EMAIL, KEY, VALUE, ACCOUNT, IP, IP6, SOCIAL, PHONE, CARD, NAME))
 #: Stands around entities in marked texts; no character of any script. Texts that hold it are cut by two searches.
 MARK = "\ufdd0"
 #: Characters before a match that tell its kind: the longest title or keyword with what may follow it is shorter.
@@ -95,7 +100,7 @@ def kind_of(match: Column, before: Column, after: Column, following: Column) ->
     keyword = before.rlike(r"(?i)(?:password|passwd|pwd|token|secret|api[_\-]?key)\x22?\s{0,2}[=:]\s{0,2}[\x22']?$")
     return (
         F.when(match.contains("@"), "email").when(keyword, "secret").when(match.rlike(f"^(?:{KEY})$"), "secret")
-        .when(match.rlike(r"^[\d]{1,3}(\.\d{1,3}){3}$"), "ip")
+        .when(match.rlike(r"^[\d]{1,3}(\.\d{1,3}){3}$"), "ip").when(match.rlike(r"^[0-9A-Fa-f]{1,4}:[0-9A-Fa-f:]+$"), "ip6")
         .when(match.rlike(r"^[A-Z]{2}\d{2}"), "account")
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "social")
         .when(match.rlike(r"^\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}$"), "card")
@@ -135,6 +140,11 @@ def check_digit(body: Column) -> Column:
     return F.pmod(-total, F.lit(10)).cast("string")
 
 
+def hexadecimal_like(text: Column, picked) -> Column:
+    """Hexadecimal digits picked anew, all else as it is."""
+    return each_char(text, lambda c, i: F.when(c.rlike("^[0-9a-f]$"), picked("0123456789abcdef", i)).otherwise(c))
+
+
 def drawn(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of an entity at its ``attempt``-th draw, in canonical form."""
     seed = lambda n: F.sha2(F.concat_ws("|", F.lit(f"{key}{n}"), kind, canon, attempt.cast("string")), 256)
@@ -175,6 +185,11 @@ def drawn(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         F.when(canon.rlike("^(?:AKIA|ASIA|gh[opsu]_)"), key_body)
         .when(canon.rlike("^[0-9a-f]+$"), hexadecimal).otherwise(same_shape)
     )
+    # private addresses of the same shape; a drawing that collided gains a group behind the double colon
+    groups = F.concat(F.lit("fd"), F.substring(hexadecimal_like(canon, picked), F.lit(3), F.length(canon)))
+    wider = F.concat(F.lit("::"), F.substring(digest, F.lit(81), F.lit(4)), F.when(canon.endswith("::"), "").otherwise(":"))
+    has_room = (attempt > 0) & (F.size(F.split(canon, ":")) < 8)
+    ip6 = F.when(has_room, F.replace(groups, F.lit("::"), wider)).otherwise(groups)
     account = F.concat(F.substring(canon, 1, 2), F.substring(same_shape, F.lit(3), F.length(canon)))
 
     def made_up(script: str) -> Column:
@@ -196,7 +211,7 @@ def drawn(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
         F.when(kind == "email", mail).when(kind == "phone", phone).when(kind == "card", card)
         .when(kind == "social", F.concat(F.lit("9"), F.substring(same_shape, F.lit(2), F.length(canon))))
         .when(kind == "ip", F.concat_ws(".", *[o.cast("string") for o in octets]))
-        .when(kind == "secret", secret).when(kind == "account", account).otherwise(names)
+        .when(kind == "ip6", ip6).when(kind == "secret", secret).when(kind == "account", account).otherwise(names)
     )
 
 

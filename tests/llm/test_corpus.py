@@ -1,5 +1,6 @@
 """Operators over the whole corpus: neighbours, near-dedup, line dedup, surrogates, url rules, mixing, pipeline."""
 
+import ipaddress
 import random
 import re
 from collections import Counter, defaultdict
@@ -344,6 +345,20 @@ def test_collisions_are_redrawn(rows, monkeypatch):
     assert got == {"a": "same", "b": "b2", "c": "c1", "b1": "b11"}
 
 
+def test_long_addresses_keep_their_groups_and_code_stays(rows):
+    shapes = ["2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "2607:f8b0::"]
+    code = "std::move(a) at 10:30:45 in Foo::Bar, a::b, ::1, 12:34:56:78:9a:bc and 1:2:3:4:5:6:7:8"
+    got = replaced(rows, [(1, " ".join(shapes)), (2, f"from {shapes[0].upper()}, [{shapes[1]}]."), (3, code)])
+    assert got[3]["text"] == code and got[1]["kinds"] == ["ip6"] and (got[1]["n_entities"], got[2]["n_entities"]) == (3, 2)
+    new = got[1]["text"].split(" ")
+    assert [re.sub("[0-9a-f]", "0", x) for x in new] == [re.sub("[0-9a-f]", "0", x) for x in shapes]
+    assert all(x.startswith("fd") and str(ipaddress.ip_address(x)) for x in new)
+    assert got[2]["text"] == f"from {new[0].upper()}, [{new[1]}]."
+    many = [(i, f"2001::{i:x}") for i in range(300)]  # 256 heads times 16 digits: some draw again
+    texts = [x["text"] for x in replaced(rows, many).values()]
+    assert len(set(texts)) == 300 and all(ipaddress.ip_address(x) for x in texts)
+
+
 def test_a_text_that_holds_the_mark_is_cut_alike(rows):
     plain = "{}Mrs. Ann Lee wrote to ann.lee@site.org{}from 10.20.30.40\n\nMr. Lee{}"
     got = replaced(rows, [(1, plain.format("", " ", "")), (2, plain.format(surrogates.MARK, f" {surrogates.MARK} ", surrogates.MARK))])
