@@ -66,7 +66,7 @@ def probe_places(length: int, other: int, edits: int) -> list[tuple[int, int, in
     return found
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=4_000)
 def cuts(length: int, edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(start, end, seed) of the substrings that a line of ``length`` characters posts and probes; the
     seed tells lengths and segments apart."""

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
@@ -34,6 +35,8 @@ MODEL = "piece_bpe_32k.model"
 #: Chunks a task remembers, and the longest that it remembers.
 REMEMBERED = 400_000
 LONGEST = 64
+#: Characters of text after which a task hands on its ids.
+CHARACTERS = 2_000_000
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 
 
@@ -149,16 +152,20 @@ def encode_documents(docs: DataFrame, model: str | None = None, text: str = "tex
     # the other columns travel as they are, in one struct that pandas does not have to understand
     packed = docs.select(F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("row"), F.col(text).alias("text"))
 
-    def encoded(ids_of: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = pieces(path)
-        for texts in ids_of:
-            ids = [table.encode(t) for t in texts]
-            yield pd.DataFrame(
-                {
-                    "ids": ids,
-                    "round_trip": [table.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)],
-                }
-            )
+        for texts in batches:
+            held, same, characters = [], [], 0
+            for t in texts:
+                ids = table.encode(t)
+                held.append(np.array(ids, dtype=np.int32))  # half of a list's memory
+                same.append(table.decode(ids) == (t or ""))
+                characters += len(t or "")
+                if characters >= CHARACTERS:
+                    yield pd.DataFrame({"ids": held, "round_trip": same})
+                    held, same, characters = [], [], 0
+            if held:
+                yield pd.DataFrame({"ids": held, "round_trip": same})
 
     run = F.pandas_udf(encoded, "struct<ids:array<int>,round_trip:boolean>")
     done = packed.withColumn("code", run("text"))

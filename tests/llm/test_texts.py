@@ -125,6 +125,14 @@ def test_every_text_comes_back(odd):
     assert {tuple(r["ids"]) for r in got.where("doc_id in (0, 1)").collect()} == {()}
 
 
+def test_batches_cut_by_characters_lose_no_row(rows, monkeypatch):
+    data = rows([(i, t) for i, t in enumerate(["a b", None, "", "long text " * 20, "x", "y" * 9, ""])]).coalesce(1)
+    whole = {x["doc_id"]: (x["ids"], x["round_trip"]) for x in pieces.encode_documents(data).collect()}
+    monkeypatch.setattr(pieces, "CHARACTERS", 5)
+    assert {x["doc_id"]: (x["ids"], x["round_trip"]) for x in pieces.encode_documents(data).collect()} == whole
+    assert len(whole) == 7 and all(same for _, same in whole.values())
+
+
 def test_pieces_of_nothing(rows):
     assert pieces.encode_documents(rows([])).count() == 0
 
