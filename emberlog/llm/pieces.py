@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from math import inf
 
 import ahocorasick
 import numpy as np
@@ -60,7 +61,7 @@ class Pieces:
         lonely = "" if "\n" in inside else "\n"
         either = f"{SPACE}*[^{SPACE}{lonely}]+|{SPACE}+"
         self.chunks = re.compile(f"{lonely}|{either}" if lonely else either)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     @classmethod
     def read(cls, path: str) -> Pieces:
@@ -79,6 +80,8 @@ class Pieces:
     def viterbi(self, chunk: str) -> list[int]:
         """Ids of the best segmentation of ``chunk``."""
         n = len(chunk)
+        if self.single.issuperset(chunk):  # no character needs its bytes, so every position is reached
+            return self.viterbi_of_pieces(chunk, n)
         best: list[float | None] = [0.0] + [None] * n
         back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
         place = 0  # positions up to here have had their fallback
@@ -108,6 +111,22 @@ class Pieces:
             at = start
         return ids[::-1]
 
+    def viterbi_of_pieces(self, chunk: str, n: int) -> list[int]:
+        """The same where every character is a piece: an end's best entry of the table is all that is kept of it."""
+        best = [0.0] + [-inf] * n
+        back = [(0, 0.0, 0)] * (n + 1)
+        for last, entry in self.automaton.iter(chunk):
+            end = last + 1
+            score = best[end - entry[0]] + entry[1]
+            if score > best[end]:
+                best[end], back[end] = score, entry
+        ids = []
+        while n:
+            length, _, i = back[n]
+            ids.append(i)
+            n -= length
+        return ids[::-1]
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of ``text``; none for null or the empty text."""
         if not text:
@@ -119,7 +138,7 @@ class Pieces:
             for chunk in self.chunks.findall((SPACE if not n else "") + part.replace(" ", SPACE)):
                 found = self.known.get(chunk)
                 if found is None:
-                    found = self.viterbi(chunk)
+                    found = tuple(self.viterbi(chunk))  # smaller than a list, and garbage collection skips it
                     if len(chunk) <= LONGEST:
                         if len(self.known) >= REMEMBERED:
                             self.known.clear()
