@@ -7,14 +7,14 @@
 3. Slot ``i`` of the schedule takes the point ``frac(i * golden ratio)``; the source in whose piece of
    the cumulative targets it falls fills the slot. Any run of the schedule therefore holds every source
    in nearly its share.
-4. Slots are ranked per source; rank ``r`` takes block ``r`` of the source's repeated line. A slot that would go
-   beyond the source's target stays empty.
+4. Slots are ranked per source, slice by slice with offsets; rank ``r`` takes block ``r`` of the source's repeated
+   line. A slot that would go beyond the source's target stays empty.
 5. What a source's slots leave open to its target, less than a block or the few blocks by which the points miss a share,
-   follows after the schedule as one last piece, cut to the word.
+   follows in slots behind the schedule, the last block cut to the word.
+6. Documents are cut at the borders of blocks and meet the blocks by (source, rank): what is taken of a document are
+   its words in blocks that fill a slot, and the slots order the documents of the mix.
 
-A source's ranks run from 0 without a gap, so the number of its slots is all that the words taken from each document
-depend on: slots are counted where they are made and none is shuffled. ``schedule`` ranks them, slice by slice with
-offsets, for those who write the mix in its order. Places in the shuffled order come from prefix sums over ``BUCKETS``
+Places in the shuffled order come from prefix sums over ``BUCKETS``
 slices of the digest: a source that holds a third of all rows is ranked in that many pieces. Built-in functions only.
 """
 
@@ -134,16 +134,63 @@ def schedule(targets: DataFrame, block: int, n_slots: int) -> DataFrame:
 
 
 def filled(targets: DataFrame, block: int, n_slots: int) -> DataFrame:
-    """Add ``slots`` (filled by the schedule), ``_rounds`` and ``_rest``: how often all of the source is taken, and the
-    words from its beginning that are taken once more, the last piece included."""
-    counts = slot_sources(targets, n_slots).groupBy("sid").agg(F.count(F.lit(1)).alias("_k"))
-    fits = F.floor(F.col("target") / block).cast("bigint")
-    slots = F.least(F.coalesce("_k", F.lit(0)), fits)
-    piece = F.round("target").cast("bigint") - F.col("slots") * block
-    words, size = F.col("slots") * block + piece, F.col("source_size")
-    out = targets.join(counts, "sid", "left").withColumn("slots", slots).withColumn("_words", words)
-    rounds = F.when(size > 0, F.floor(F.col("_words") / size)).otherwise(0)
-    return out.withColumn("_rounds", rounds).withColumn("_rest", F.col("_words") - F.col("_rounds") * size).drop("_k", "_words")
+    """(sid, source_size, target) -> rows (slot, sid, rank, words): all blocks of the mix, each in its slot.
+
+    First the slots of the schedule. A source that these leave below its target goes on, block after block, in slots
+    behind them, the sources in turn; its last block has as many words as are missing, so it may be a short one.
+    """
+    done = pin(schedule(targets, block, n_slots).select("slot", "sid", "rank", F.lit(block).cast("bigint").alias("words")), "slots")
+    counts = done.groupBy("sid").agg(F.max("rank").alias("_last"))
+    next_ = (F.coalesce(F.col("_last"), F.lit(-1)) + 1).alias("_next")
+    whole = F.round("target").cast("bigint")
+    short = targets.crossJoin(targets.agg(F.count(F.lit(1)).alias("_n"))).join(counts, "sid", "left")
+    short = short.select("sid", "_n", next_, whole.alias("_whole")).where(F.col("_whole") > F.col("_next") * block)
+    last = F.floor((F.col("_whole") - 1) / block)
+    closing = short.withColumn("rank", F.explode(F.sequence("_next", last))).select(
+        (F.lit(n_slots) + (F.col("rank") - F.col("_next")) * F.col("_n") + F.col("sid") - 1).alias("slot"), "sid", "rank",
+        F.least(F.lit(block), F.col("_whole") - F.col("rank") * block).cast("bigint").alias("words"),
+    )
+    return done.unionByName(closing)
+
+
+def mix_pieces(
+    docs: DataFrame, weights: Sequence[float], total: float, cap: float, block: int, seed: str
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with what the mix takes of them, and how many slots of the schedule each source fills.
+
+    Every document lies on its source's line once per round; each of these places is cut at the borders of the
+    blocks and every part meets the block of its rank. Rows (doc_id, source, size, source_size, target, sid, start,
+    round, at, slot, words, middle): ``words`` of the document in the block of ``slot``, from word ``at`` of the
+    repeated line on; ``middle`` marks the part that holds the document's middle. Documents of which nothing is
+    taken have one row with nulls behind ``start``.
+    """
+    sized = pin(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = pin(source_targets(sums, weights, total, cap).drop("weight"), "targets")
+    wanted = targets.agg(F.sum("target")).first()[0] or 0.0
+    n_slots = -int(-wanted // block)
+    blocks = pin(filled(targets, block, n_slots), "blocks")
+    by_schedule = blocks.where(F.col("slot") < n_slots).groupBy("sid").agg(F.count(F.lit(1)).alias("slots"))
+    slots = targets.join(by_schedule, "sid", "left").select("sid", F.coalesce("slots", F.lit(0)).alias("slots"))
+    keyed = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    placed = shuffled_places(keyed.where("size > 0"), seed)
+    rounds = F.floor((F.round("target").cast("bigint") - 1 - F.col("start")) / F.col("source_size"))
+    placed = placed.withColumn("round", F.explode_outer(F.when(rounds >= 0, F.sequence(F.lit(0).cast("bigint"), rounds))))
+    placed = placed.withColumn("_at", F.col("start") + F.col("round") * F.col("source_size"))
+    ranks = F.sequence(F.floor(F.col("_at") / block), F.floor((F.col("_at") + F.col("size") - 1) / block))
+    cut = placed.withColumn("rank", F.explode_outer(ranks))
+    met = cut.join(blocks, ["sid", "rank"], "left")
+    low = F.greatest("_at", F.col("rank") * block)
+    high = F.least(F.col("_at") + F.col("size"), F.col("rank") * block + F.col("words"))
+    middle = F.floor(F.col("_at") + F.col("size") / 2)
+    filling = F.col("slot").isNotNull() & (high > low)  # greatest and least pass over nulls
+    taken = met.select(
+        "doc_id", "source", "size", "source_size", "target", "sid", "start", "round", low.alias("at"), "slot",
+        F.when(filling, high - low).alias("words"), (filling & (low <= middle) & (middle < high)).alias("middle"),
+    )
+    empty = keyed.where("size = 0")
+    missing = [F.lit(None).cast(t.dataType).alias(t.name) for t in taken.schema if t.name not in empty.columns]
+    return taken.unionByName(empty.select("*", *missing)), slots
 
 
 def mix_sources(
@@ -156,53 +203,52 @@ def mix_sources(
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, passes, slots.
 
-    ``taken``: words of the document in the filled slots and the last piece of its source, repeats counted; the
-    document in which the last piece ends is cut. All sources meet their targets to the word, and as no target is
+    ``taken``: words of the document in the blocks that fill the slots, repeats counted; the document in which a
+    source's last block ends is cut. All sources meet their targets to the word, and as no target is
     above ``cap`` times its source, ``taken`` never exceeds ``cap`` times the size. ``passes``: how often the middle
-    of the document is taken, i.e. the copies to write where documents stay whole. ``slots``: of its source.
+    of the document is taken, i.e. the copies to write where documents stay whole. ``slots``: of its source, those of the
+    schedule.
 
     Null texts and texts without words have size 0 and nothing taken. A null source is a source of its
     own, the last; a null doc_id is an id like any other. Repeated rows are documents of their own. An
     empty table, or one without words, gives its rows with target 0. The result does not depend on
     partitions, order or reruns: the order comes from the ids.
     """
-    sized = pin(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = pin(source_targets(sums, weights, total, cap), "targets")
-    wanted = targets.agg(F.sum("target")).first()[0] or 0.0
-    by_source = pin(filled(targets, block, -int(-wanted // block)).drop("weight"), "filled")
-    keyed = sized.join(by_source, sized["source"].eqNullSafe(by_source["source"])).drop(by_source["source"])
-    placed = shuffled_places(keyed, seed)
-    start, end = F.col("start"), F.col("start") + F.col("size")
-    once_more = F.greatest(F.least(end, F.col("_rest")) - start, F.lit(0))
-    middle = F.floor(start + F.col("size") / 2) < F.col("_rest")
-    some = F.col("size") > 0
-    return placed.select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.when(some, F.col("_rounds") * F.col("size") + once_more).otherwise(0).cast("bigint").alias("taken"),
-        F.when(some, F.col("_rounds") + middle.cast("bigint")).otherwise(0).cast("bigint").alias("passes"),
-        "slots",
+    pieces, slots = mix_pieces(docs, weights, total, cap, block, seed)
+    some = pieces.where("size > 0").groupBy("sid", "start").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")],
+        F.coalesce(F.sum("words"), F.lit(0)).alias("taken"), F.count_if("middle").alias("passes"),
     )
+    none = pieces.where("size = 0").withColumns({c: F.lit(0).cast("bigint") for c in ("taken", "passes")})
+    mixed = some.unionByName(none.select(*some.columns)).join(slots, "sid")
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "passes", "slots")
 
 
-def mixed_documents(docs: DataFrame, **params: object) -> DataFrame:
-    """The documents of the mix, each whole and as often as it is passed; columns as given.
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    total: float = 1.5,
+    cap: int = 2,
+    block: int = BLOCK,
+    seed: str = "mix-1:",
+) -> DataFrame:
+    """The documents of the mix in the order of its slots, each whole and as often as it is passed; columns as given.
 
-    Decisions join back by (doc_id, source, size); of rows equal in these three, all get the largest. Documents
-    without words are not in the mix.
+    A copy stands where the document's middle stands. Decisions join back by (doc_id, source, size); of rows equal in
+    these three, all get those of the one with most copies. Documents without words are not in the mix.
     """
     keys = ["doc_id", "source", "size"]
-    theirs, passes, words, copy = {k: own(k) for k in keys}, own("passes"), own("words"), own("copy")
-    plan = mix_sources(docs, **params).groupBy(*keys).agg(F.max("passes").alias(passes))
-    plan = plan.where(F.col(passes) > 0).select(*[F.col(k).alias(name) for k, name in theirs.items()], passes)
+    theirs, words, spot = {k: own(k) for k in keys}, own("words"), own("spot")
+    pieces, _ = mix_pieces(docs, weights, total, cap, block, seed)
+    plan = pieces.where("middle").groupBy(*keys, "round").agg(F.min(F.struct("slot", "at")).alias(spot))
+    plan = plan.select(*[F.col(k).alias(name) for k, name in theirs.items()], spot)
     sized = docs.withColumn(words, n_words(F.col("text")))
     same = (
         F.col("doc_id").eqNullSafe(F.col(theirs["doc_id"]))
         & F.col("source").eqNullSafe(F.col(theirs["source"]))
         & (F.col(words) == F.col(theirs["size"]))
     )
-    chosen = sized.join(plan, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(passes))))
-    return chosen.select(*docs.columns)
+    return sized.join(plan, same).orderBy(spot, "text").select(*docs.columns)
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:

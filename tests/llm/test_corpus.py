@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from emberlog.llm import components, line_dedup, mixing, near_dedup, neighbours, surrogates, url_rules
 
@@ -560,6 +561,19 @@ def test_the_schedule_takes_the_blocks_of_a_line_in_turn(rows, monkeypatch):
     assert 18 <= sum(x["sid"] == 1 for x in got) <= 20 and 4 <= sum(x["sid"] == 2 for x in got) <= 6
 
 
+def test_what_is_taken_comes_from_the_slots(rows, monkeypatch):
+    """A slot that goes missing takes its block out of the mix."""
+    data = [(i, "w " * 5, "a" if i % 3 else "b") for i in range(300)]
+    df = rows(data, "doc_id bigint, text string, source string", clash=True)
+    before = mixing.mix_sources(df, block=20).collect()
+    schedule = mixing.schedule
+    lost = lambda *given: schedule(*given).where("not (sid = 1 and rank = 3)")
+    monkeypatch.setattr(mixing, "schedule", lost)
+    after = {x["doc_id"]: x for x in mixing.mix_sources(df, block=20).collect()}
+    change = [x["taken"] - after[x["doc_id"]]["taken"] for x in before]
+    assert sorted(filter(None, change)) == [5] * 4 and sum(x["slots"] for x in before) > sum(x["slots"] for x in after.values())
+
+
 def test_columns_of_the_input_outlive_the_mix(rows):
     df = rows([(1, "w w w", "a", "keep")], "doc_id bigint, text string, source string, _words string")
     df = df.selectExpr("*", "_words AS _passes", "_words AS _copy", "_words AS _rest", "_words AS slots")
