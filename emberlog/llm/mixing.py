@@ -235,7 +235,8 @@ def mixed_documents(
     """The documents of the mix in the order of its slots, each whole and as often as it is passed; columns as given.
 
     A copy stands where the document's middle stands. Decisions join back by (doc_id, source, size); of rows equal in
-    these three, all get those of the one with most copies. Documents without words are not in the mix.
+    these three, all get those of the one with most copies. Documents without words are not in the mix. Written as it is,
+    the table's files, by name, hold the mix in its order: ``with_places`` reads it.
     """
     keys = ["doc_id", "source", "size"]
     theirs, words, spot = {k: own(k) for k in keys}, own("words"), own("spot")
@@ -251,6 +252,21 @@ def mixed_documents(
     return sized.join(plan, same).orderBy(spot, "text").select(*docs.columns)
 
 
+def with_places(mixed: DataFrame, name: str = "place") -> DataFrame:
+    """Add the 0-based place in the mix to a table of ``mixed_documents``, read back from the Parquet files it was written to.
+
+    Files follow one another by name, rows as they lie in the file, however the scan is cut and packed. The files make a
+    table of one row each.
+    """
+    file, row, n = own("file"), own("row"), own("n")
+    rows = mixed.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy(file).agg(F.count(F.lit(1)).alias(n))
+    starts = files.select(file, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n))
+    kept = [c for c in mixed.columns if c != name]
+    return rows.join(F.broadcast(starts), file).select(*kept, (F.col(n) + F.col(row)).alias(name))
+
+
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
     """Every document with its size, its source's size, target and slots, and the words taken from it."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))

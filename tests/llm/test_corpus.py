@@ -574,6 +574,47 @@ def test_what_is_taken_comes_from_the_slots(rows, monkeypatch):
     assert sorted(filter(None, change)) == [5] * 4 and sum(x["slots"] for x in before) > sum(x["slots"] for x in after.values())
 
 
+def test_the_mix_is_in_the_order_of_its_slots(rows, spark, tmp_path):
+    sizes = {"a": 4000, "b": 3000, None: 90}
+    data, r = [], random.Random(5)
+    for source, left in sizes.items():
+        while left > 0:
+            n = min(left, r.randint(1, 30))
+            data.append((len(data), "w " * n, source))
+            left -= n
+    df = rows(data, "doc_id bigint, text string, source string", clash=True)
+    targets = mixing.source_targets(df.select("source", mixing.n_words("text").alias("n")).groupBy("source").agg(F.sum("n").alias("source_size")))
+    wanted = sum(x["target"] for x in targets.collect())
+    blocks = {(x["sid"], x["rank"]): x["slot"] for x in mixing.filled(targets, 50, -int(-wanted // 50)).collect()}
+    sid = {x["source"]: x["sid"] for x in targets.collect()}
+    start = {(x["sid"], x["doc_id"]): x["start"] for x in mixing.shuffled_places(
+        df.join(F.broadcast(targets), df["source"].eqNullSafe(targets["source"])).select("sid", "doc_id", mixing.n_words("text").alias("size")), "mix-1:").collect()}
+    want = []
+    for i, text, source in data:
+        n, k = text.count("w"), sid[source]
+        for at in range(start[k, i], 3 * sizes[source], sizes[source]):
+            rank = (at + n // 2) // 50
+            if (k, rank) in blocks and at + n // 2 < 2 * sizes[source]:
+                want.append((blocks[k, rank], at, i))
+    mixing.mixed_documents(df, block=50).write.parquet(f"{tmp_path}/mix")
+    got = mixing.with_places(spark.read.parquet(f"{tmp_path}/mix")).orderBy("place").collect()
+    assert [x["place"] for x in got] == list(range(len(got)))
+    ends = {k: sum(1 for s, _ in blocks if s == k) for k in sid.values()}
+    inner = [w for w in sorted(want) if w[1] // 50 < ends[sid[data[w[2]][2]]] - 2]  # the last block is cut to the word
+    ids = [x["doc_id"] for x in got]
+    kept = {(w[2], w[1] // sizes[data[w[2]][2]]) for w in inner}
+    seen, order = Counter(), []
+    for i in ids:
+        if (i, seen[i]) in kept:
+            order.append(i)
+        seen[i] += 1
+    assert order == [w[2] for w in inner]
+    # any stretch of the mix has both large sources in nearly their shares
+    share = [x["source"] == "a" for x in got]
+    whole = sum(share) / len(share)
+    assert all(abs(sum(share[i : i + 60]) / 60 - whole) < 0.35 for i in range(0, len(share) - 120, 30))
+
+
 def test_columns_of_the_input_outlive_the_mix(rows):
     df = rows([(1, "w w w", "a", "keep")], "doc_id bigint, text string, source string, _words string")
     df = df.selectExpr("*", "_words AS _passes", "_words AS _copy", "_words AS _rest", "_words AS slots")
