@@ -101,13 +101,18 @@ def override_rate(scored: DataFrame, by: str = "run") -> DataFrame:
 def confusion_matrix(
     scored: DataFrame, by: str = "run", labels: list[str] | None = None
 ) -> DataFrame:
-    """``(run, truth, predicted, n)``; pairs outside ``labels`` are left out, ``[]`` keeps all."""
+    """``(run, truth, predicted, n)``; pairs outside ``labels`` are left out, ``[]`` keeps all.
+
+    Pairs outside meet in one group per run that counts nothing. A filter on the two labels would be pushed below the
+    parsing of the outputs, which it would then hold several times over.
+    """
     labels = ["SEV-1", "SEV-3"] if labels is None else labels
-    if labels:
-        scored = scored.where(F.col("true_severity").isin(labels) & F.col("severity").isin(labels))
-    return scored.groupBy(
-        by, F.col("true_severity").alias("truth"), F.col("severity").alias("predicted")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    truth, predicted = F.col("true_severity"), F.col("severity")
+    if not labels:
+        return scored.groupBy(by, truth.alias("truth"), predicted.alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    inside = truth.isin(labels) & predicted.isin(labels)
+    pairs = scored.select(by, F.when(inside, truth).alias("truth"), F.when(inside, predicted).alias("predicted"))
+    return pairs.groupBy(by, "truth", "predicted").agg(F.count("predicted").alias("n")).where("n > 0")
 
 
 def confusion_pivot(

@@ -138,3 +138,19 @@ def test_experiments(runs):
     gains = {r.ord: r.improvement_pct for r in X.improvement_pct(runs).collect()}
     assert round(gains[2]) == 71 and gains[0] == 0.0 and gains[4] is None
     assert X.only_best(runs).select(F.max("ord")).first()[0] == 2
+
+
+def test_confusion_parses_no_output_twice(spark):
+    """The labels of interest are told apart behind the parsing, not in a filter that repeats it."""
+    from emberlog.plans import registry
+
+    scored = registry.scored(spark, "/root/testdata/sf0.001")
+    parsed = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+    assert parsed(E.confusion_matrix(scored)) == parsed(E.confusion_pivot(scored)) == parsed(E.confusion_matrix(scored, labels=[]))
+
+
+def test_pairs_outside_the_labels_leave_no_row(spark):
+    data = [("a", "SEV-1", "SEV-3"), ("a", "SEV-1", None), ("a", None, "SEV-1"), ("b", "SEV-2", "SEV-1"), (None, "SEV-3", "SEV-3")]
+    scored = spark.createDataFrame(data, "run string, true_severity string, severity string")
+    got = {tuple(r) for r in E.confusion_matrix(scored).collect()}
+    assert got == {("a", "SEV-1", "SEV-3", 1), (None, "SEV-3", "SEV-3", 1)}
