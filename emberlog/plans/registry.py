@@ -128,9 +128,10 @@ def _(spark, sf):
     "log_lines",
 )
 def _(spark, sf):
-    """Line numbers over five files, read in blocks of about 64 KB."""
-    with _small_blocks(spark):
-        return files.numbered_lines(spark, f"{_line_files(spark, sf)}/*").select("pos", "line_no", "line")
+    """Line numbers over five folders of files, read in small blocks."""
+    path, size = _line_files(spark, sf)
+    with _small_blocks(spark, size):
+        return files.numbered_lines(spark, f"{path}/*", by="folder").select("pos", "line_no", "line")
 
 
 @query(
@@ -139,16 +140,18 @@ def _(spark, sf):
     "kept",
 )
 def _(spark, sf):
-    """One sequence of informative lines over five files, without any key."""
-    with _small_blocks(spark):
-        kept = pin(lin.informative_lines(files.read_log_lines(spark, f"{_line_files(spark, sf)}/*")), "informative")
+    """One sequence of informative lines over five folders of files, without any key."""
+    path, size = _line_files(spark, sf)
+    with _small_blocks(spark, size):
+        kept = pin(lin.informative_lines(files.read_log_lines(spark, f"{path}/*", by="folder")), "informative")
     return global_ordinal(kept).select("pos", "normalized")
 
 
 @contextmanager
-def _small_blocks(spark):
-    """Text scans in blocks of 64 KB, as large files are cut into many."""
-    conf = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}
+def _small_blocks(spark, size: int):
+    """Text scans in some 256 blocks, as large files are cut into many: of 64 KB at least, of 128 MB at most."""
+    block = min(max(size // 256, 64 << 10), 128 << 20)
+    conf = {"spark.sql.files.maxPartitionBytes": f"{block}b", "spark.sql.files.openCostInBytes": "0"}
     before = {key: spark.conf.get(key, None) for key in conf}
     for key, value in conf.items():
         spark.conf.set(key, value)
@@ -162,15 +165,17 @@ def _small_blocks(spark):
                 spark.conf.set(key, value)
 
 
-def _line_files(spark, sf, parts: int = 5) -> str:
-    """The log lines in order, dealt to text files ``a`` to ``e``, one folder each."""
+def _line_files(spark, sf, parts: int = 5) -> tuple[str, int]:
+    """The log lines in order, dealt to folders ``a`` to ``e`` of text files that follow one another by name; and their bytes."""
     path = stage_path(spark, "text")
     lines = pin(log_lines(spark, sf).select("seq", "line"), "lines")
-    low, high = lines.agg(F.min("seq"), F.max("seq")).first()
-    for i in range(parts):
-        part = lines.where(F.floor((F.col("seq") - low) * parts / (high - low + 1)) == i)
-        part.coalesce(1).sortWithinPartitions("seq").select("line").write.text(f"{path}/{'abcde'[i]}")
-    return path
+    low, high, size = lines.agg(F.min("seq"), F.max("seq"), F.sum(F.octet_length("line") + 1)).first()
+    part = F.floor((F.col("seq") - low) * parts / (high - low + 1))
+    named = lines.withColumn("part", F.substring(F.lit("abcde"), (part + 1).cast("int"), F.lit(1))).where(F.col("seq").isNotNull())
+    # each task writes a range of the lines; its number begins the name of its files
+    ordered = named.repartitionByRange("seq").sortWithinPartitions("part", "seq").select("part", "line")
+    ordered.write.partitionBy("part").text(path)
+    return path, size
 
 
 def _source_folders(spark, sf) -> str:

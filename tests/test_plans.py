@@ -54,3 +54,36 @@ def test_model_round_trip(spark):
     assert sum(r.response == r.raw_output for r in got) > len(got) / 2
     runs = model.tune_triage_model(train, val, model.CONFIGS[1:])
     assert [r.config_name for r in runs.collect()] == [c.name for c in model.CONFIGS[1:]]
+
+
+def test_text_scans_of_large_tables_stay_few(spark):
+    """Blocks grow with the lines: no more than some hundred tasks at 16 GB, and still many blocks on a small table."""
+    from emberlog.plans import registry
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    found = []
+    for size in (1 << 10, 1 << 30, 16 << 30, 1 << 50):
+        with registry._small_blocks(spark, size):
+            found.append(int(spark.conf.get(key).rstrip("b")))
+    assert found == [64 << 10, 4 << 20, 64 << 20, 128 << 20] and spark.conf.get(key, None) == before
+
+
+def test_line_files_hold_the_lines_in_order(spark):
+    """Several tasks write a folder; its files, by name, hold the lines in order, and no folder takes those of another."""
+    from emberlog.plans import registry
+
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        path, size = registry._line_files(spark, "/root/testdata/sf0.001")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    read = spark.read.text(f"{path}/*").selectExpr("value", "_metadata.file_path AS file", "monotonically_increasing_id() AS i").collect()
+    rows = sorted((r["file"], r["i"], r["value"]) for r in read)
+    assert len({r[0] for r in rows}) > 5 and sum(len(r[2].encode()) + 1 for r in rows) == size
+    want = [r["line"] for r in registry.log_lines(spark, "/root/testdata/sf0.001").orderBy("seq").collect()]
+    assert [r[2] for r in rows] == want
