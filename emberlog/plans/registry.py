@@ -1337,19 +1337,27 @@ def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+#: Events of a micro-batch, about: a source's lines of one micro-batch are in one task's memory.
+BATCH_EVENTS = 1_500_000
+
+
 def _window_files(spark, sf, parts: int = 3, until=None, **how) -> str:
     """Windows of the events in several micro-batches; the stream stops and starts again in between.
 
-    ``until`` may leave out events by their place in the table, from 0 to 1.
+    ``parts`` is the least number of micro-batches, which grows with the table. ``until`` may leave out events by their
+    place in the table, from 0 to 1.
     """
     path, feed = stage_path(spark, "windows"), stage_path(spark, "events")
     events = rendered.table(spark, sf, "events")
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    low, high, n = events.agg(F.min("event_id"), F.max("event_id"), F.count(F.lit(1))).first()
+    parts = max(parts, -(-n // BATCH_EVENTS))
     part = F.least(F.floor((F.col("event_id") - low) * parts / (high - low + 1)), F.lit(parts - 1))
     if until is not None:
         events = events.where(until((F.col("event_id") - low) / (high - low + 1)))
     for i in range(parts):
-        events.where(part == i).write.parquet(f"{feed}/part={i}")
+        # the bounds, one event too wide for rounding, let the scan pass over row groups
+        about = F.col("event_id").between(*[low + (high - low + 1) * (i + j) // parts + (2 * j - 1) for j in (0, 1)])
+        events.where(about & (part == i)).write.parquet(f"{feed}/part={i}")
         read = spark.readStream.schema(events.schema).parquet(f"{feed}/part=*")
         cleaned = stream_ops.stream_clean(rendered.lines_of_events(read, "ts"))
         writer = stream_win.to_files(stream_win.stream_windows(cleaned, **how), path)

@@ -21,6 +21,9 @@ MEMBERS = "array<struct<pos: bigint, normalized: string, level: string, componen
 #: source's lines so far, ``open`` of those that no window will take.
 OUTPUT = f"kind string, source string, win bigint, members {MEMBERS}, ts timestamp, lines bigint, open bigint"
 WINDOW, EXPIRED = "window", "expired"
+#: The columns that the windows need of a line, and how many lines are at hand as Python objects at once.
+LINE = ["seq", "normalized", "level", "component", "us"]
+SLICE = 4096
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -42,21 +45,29 @@ class WindowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         # a micro-batch brings a source's lines in any order; ``seq`` orders them
-        new = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        new = pd.concat([x[LINE] for x in rows], ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
         start, seen = self.place.get() if self.place.exists() else (0, None)
         held = list(self.open.get()) if start else []
-        held += zip(range(start, start + len(new)), new["normalized"], new["level"], new["component"], new["us"], strict=True)
         end = start + len(new)
-        base = held[0][0]  # positions in ``held`` have no gap
-        out = []
-        for win in range(full_windows(start, self.size, self.stride), full_windows(end, self.size, self.stride)):
-            low = win * self.stride - base
-            lines = held[low : low + self.size]
-            times = [x[4] for x in lines if not pd.isna(x[4])]
-            out.append((win, [dict(zip(MEMBER, x, strict=False)) for x in lines], max(times, default=None)))
-        # the first window that is not full yet begins here
-        still = full_windows(end, self.size, self.stride) * self.stride
-        left = [(int(p), a, b, c, None if pd.isna(t) else int(t)) for p, a, b, c, t in held if p >= still]
+        open_ = max(0, end - full_windows(end, self.size, self.stride) * self.stride)
+        # windows go out slice by slice: as Python objects, lines take several times the room of the frame
+        for at in range(0, len(new), SLICE):
+            part = new.iloc[at : at + SLICE]
+            low, high = start + at, start + at + len(part)
+            held += zip(range(low, high), part["normalized"], part["level"], part["component"], part["us"], strict=True)
+            base = held[0][0]  # positions in ``held`` have no gap
+            out = []
+            for win in range(full_windows(low, self.size, self.stride), full_windows(high, self.size, self.stride)):
+                first = win * self.stride - base
+                lines = held[first : first + self.size]
+                times = [x[4] for x in lines if not pd.isna(x[4])]
+                out.append((win, [dict(zip(MEMBER, x, strict=False)) for x in lines], max(times, default=None)))
+            # the first window that is not full yet begins here
+            still = full_windows(high, self.size, self.stride) * self.stride
+            held = [x for x in held if x[0] >= still]
+            if out:
+                yield self.rows(WINDOW, key, *zip(*out, strict=True), end, open_)
+        left = [(int(p), a, b, c, None if pd.isna(t) else int(t)) for p, a, b, c, t in held]
         if left:
             self.open.put(left)
         else:
@@ -68,8 +79,6 @@ class WindowProcessor(StatefulProcessor):
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(latest // 1000 + self.idle_ms)
-        if out:
-            yield self.rows(WINDOW, key, *zip(*out, strict=True), end, len(left))
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
         end, latest = self.place.get()

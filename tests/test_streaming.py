@@ -185,3 +185,53 @@ def test_absolute_positions_cut_like_fresh_ones(spark):
     df = spark.createDataFrame(rows, schema)
     late = cut(sliding_windows(df.where("pos >= 21"), 8, 4))
     assert late == [w for w in cut(sliding_windows(df, 8, 4)) if w[1] * 4 >= 21]
+
+
+def test_windows_leave_the_processor_slice_by_slice(monkeypatch):
+    """A large micro-batch of one source gives its windows in bounded frames; they are those of the whole."""
+    import pandas as pd
+
+    from emberlog.streaming import windows as W
+
+    class State:
+        def __init__(self):
+            self.held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held if isinstance(self.held, tuple) else iter(self.held or [])
+
+        def put(self, x):
+            self.held = x
+
+        def update(self, x):
+            self.held = x
+
+        def clear(self):
+            self.held = None
+
+    class Handle:
+        def getValueState(self, *_):
+            return State()
+
+        def getListState(self, *_):
+            return State()
+
+    def frame(seqs):
+        seqs = list(seqs)
+        return pd.DataFrame({"source": "s", "seq": seqs, "normalized": [f"l{i}" for i in seqs], "level": "INFO", "component": "c", "us": seqs})
+
+    for size, stride in ((8, 4), (2, 5), (3, 1)):
+        got = {}
+        for cut in (7, 10_000):
+            monkeypatch.setattr(W, "SLICE", cut)
+            p = W.WindowProcessor(size, stride, None)
+            p.init(Handle())
+            frames = [f for batch in ([frame(range(40, 75)), frame(range(40))], [frame(range(75, 101))]) for f in p.handleInputRows(("s",), iter(batch), None)]
+            assert cut > 7 or max(len(f) for f in frames) <= 8
+            out = pd.concat(frames)
+            got[cut] = [(w, [m["normalized"] for m in ms], n, o) for w, ms, n, o in zip(out["win"], out["members"], out["lines"], out["open"], strict=True)]
+        assert got[7] == got[10_000] and len(got[7]) == W.full_windows(101, size, stride)
+        assert all(m == [f"l{i}" for i in range(w * stride, w * stride + size)] for w, m, _, _ in got[7])
