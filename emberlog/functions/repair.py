@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,14 @@ def slice_braces(text: Column) -> Column:
     return F.when(found == "", text).otherwise(found)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once: the one-element array binds it.
+
+    Written out, a costly value would be worked out again wherever ``use`` names it inside a lambda or a branch.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_object(candidate: Column) -> Column:
     """``map<string,variant>`` of a JSON object, null when the text is anything else.
 
@@ -46,10 +56,12 @@ def parse_object(candidate: Column) -> Column:
         "array<map<string,variant>>",
         {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
     )
-    closed = (F.size(values) == 2) & F.map_contains_key(
-        F.get(values, F.lit(1)), F.lit("\u0001")
-    )
-    return F.when(closed & (strip(candidate) != ""), F.get(values, F.lit(0)))
+
+    def first(found: Column) -> Column:
+        closed = (F.size(found) == 2) & F.map_contains_key(F.get(found, F.lit(1)), F.lit("\u0001"))
+        return F.when(closed, F.get(found, F.lit(0)))
+
+    return F.when(strip(candidate) != "", bound(values, first))
 
 
 def object_entry(obj: Column, key: str | Column) -> Column:

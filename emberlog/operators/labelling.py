@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog import vocab
 from emberlog.functions import labels as B
-from emberlog.functions.repair import object_entry, parse_object
+from emberlog.functions.repair import bound, object_entry, parse_object
 
 
 def action_dimension(df: DataFrame) -> DataFrame:
@@ -50,12 +50,13 @@ def label_incidents(incidents: DataFrame) -> DataFrame:
 def parse_response(response: str = "response") -> Column:
     """The entries of a JSON response column, each key once with its last value as text; null when it is
     no JSON object."""
-    obj = parse_object(F.col(response))
-    last = F.transform(
-        F.array_distinct(F.map_keys(obj)),
-        lambda k: F.struct(k.alias("key"), object_entry(obj, k)["value"].cast("string").alias("value")),
-    )
-    return F.map_from_entries(last)
+
+    def last(obj: Column) -> Column:
+        keys = F.array_distinct(F.map_keys(obj))
+        entry = lambda k: F.struct(k.alias("key"), object_entry(obj, k)["value"].cast("string").alias("value"))
+        return F.map_from_entries(F.transform(keys, entry))
+
+    return bound(parse_object(F.col(response)), last)
 
 
 def validate_pairs(pairs: DataFrame, template: bool = True) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators import evaluation as E
 from emberlog.operators import experiments as X
+from emberlog.operators import labelling
 from emberlog.plans import flows
 
 
@@ -154,3 +155,20 @@ def test_pairs_outside_the_labels_leave_no_row(spark):
     scored = spark.createDataFrame(data, "run string, true_severity string, severity string")
     got = {tuple(r) for r in E.confusion_matrix(scored).collect()}
     assert got == {("a", "SEV-1", "SEV-3", 1), (None, "SEV-3", "SEV-3", 1)}
+
+
+def test_confusion_reads_each_json_text_once(spark):
+    """One parse of the output and one of the truth, neither repeated in branches or lambdas."""
+    from emberlog.plans import registry
+
+    scored = registry.scored(spark, "/root/testdata/sf0.001")
+    for df in (E.confusion_pivot(scored), E.confusion_matrix(scored)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2
+
+
+def test_truth_of_odd_responses(spark):
+    """Last of equal keys, no JSON, text behind the object, null and an empty object."""
+    texts = ['{"a": 1, "a": "x", "b": null}', "no json", '{"a": 1} {"a": 2}', None, "{}", "", "[1]", '{"a": {"k": [1]}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, response string")
+    got = {r.i: r.t for r in df.select("i", labelling.parse_response().alias("t")).collect()}
+    assert got == {0: {"a": "x", "b": None}, 1: None, 2: None, 3: None, 4: {}, 5: None, 6: None, 7: {"a": '{"k":[1]}'}}
