@@ -140,10 +140,12 @@ def _(spark, sf):
     "kept",
 )
 def _(spark, sf):
-    """One sequence of informative lines over five folders of files, without any key."""
+    """One sequence of informative lines over five folders of files, without any key. Only what is ranked is stored and
+    shuffled, so that the counts and the ranks share one exchange."""
     path, size = _line_files(spark, sf)
     with _small_blocks(spark, size):
-        kept = pin(lin.informative_lines(files.read_log_lines(spark, f"{path}/*", by="folder")), "informative")
+        kept = lin.informative_lines(files.read_log_lines(spark, f"{path}/*", by="folder"))
+        kept = pin(kept.select("source", "block", "seq", "normalized"), "informative")
     return global_ordinal(kept).select("pos", "normalized")
 
 

@@ -87,3 +87,18 @@ def test_line_files_hold_the_lines_in_order(spark):
     assert len({r[0] for r in rows}) > 5 and sum(len(r[2].encode()) + 1 for r in rows) == size
     want = [r["line"] for r in registry.log_lines(spark, "/root/testdata/sf0.001").orderBy("seq").collect()]
     assert [r[2] for r in rows] == want
+
+
+def test_line_ordinal_global_shuffles_its_lines_once(spark):
+    """The columns asked for are all that is stored, so the counting and the ranking side read one exchange."""
+    from emberlog.plans import registry
+
+    df = registry.QUERIES["line_ordinal_global"](spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert plan.count("ReusedExchange") == 1
+    assert "level" not in plan and "component" not in plan
