@@ -9,9 +9,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.session import pin
+from emberlog.session import pin, small_batches
 
-__all__ = ["SPACE", "ascii_lower", "n_words", "own", "pin", "ranges", "table", "terms_of"]
+__all__ = ["SPACE", "ascii_lower", "n_words", "own", "pin", "ranges", "small_batches", "table", "terms_of"]
 
 #: The characters between words: space, tab to carriage return.
 SPACE = r"\x20\x09-\x0D"

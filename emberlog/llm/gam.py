@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import table
+from emberlog.llm.common import small_batches, table
 from emberlog.llm.outliers import kept_bytes, text_counts
 
 #: Bound on the labelled rows that a model is fitted on.
@@ -187,6 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     Labels without id or value teach nothing. A document labelled several times counts as often, as does
     a repeated document.
     """
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_y"))
     some = known.orderBy(F.xxhash64("_id"), "_y").limit(max_rows)
@@ -212,6 +213,7 @@ def score_quality(docs: DataFrame, model: Additive, threshold: float = 0.7) -> D
     Null and empty texts are scored as texts without words. Rows are independent; an empty table gives an
     empty result. Columns of the input that bear a name of the result are replaced.
     """
+    small_batches(docs.sparkSession)
     scored = docs.withColumn("score", score_column(F.col("text"), model))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.common import SPACE, pin, table
+from emberlog.llm.common import SPACE, pin, small_batches, table
 
 MAX_EDITS = 2
 MIN_CHARS = 20
@@ -241,6 +241,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def duplicate_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:
     """(doc_id, text) -> rows (_doc, _hash, pos): the lines that go; below ``least`` characters only exact repeats."""
+    small_batches(docs.sparkSession)
     docs = keyed(docs.select("doc_id", "text"))
     lines = docs.select("doc_id", "_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     short = (F.char_length("line") >= shortest) & F.col("line").rlike(f"[^{SPACE}]")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
 
-from emberlog.llm.common import table
+from emberlog.llm.common import small_batches, table
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -165,6 +165,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, text: str = "tex
     Rows are independent: repeated rows and an empty table need nothing special. Columns of the input
     that bear a name of the result are replaced.
     """
+    small_batches(docs.sparkSession)
     path = model or public_tokenizers.path(MODEL)
     new = ["ids", "n_tokens", "round_trip"]
     kept = [f for f in docs.schema.fields if f.name not in (text, *new)]

@@ -62,6 +62,19 @@ def drop_stages(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: str = "2m") -> None:
+    """From now on Python workers get rows in batches of about ``size`` bytes, unless the session names a size itself.
+
+    Spark's own bound is 64 MB. Executor and worker hold a batch several times over, and workers that are kept
+    do not give back all of it, so an executor's memory would follow the length of the texts.
+    """
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, size)
+
+
 def pin(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a stage table and read it back.
 

@@ -7,10 +7,12 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from emberlog.llm import components, line_dedup, mixing, near_dedup, neighbours, surrogates, url_rules
+from emberlog import session
+from emberlog.llm import components, gam, line_dedup, mixing, near_dedup, neighbours, pieces, surrogates, url_rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -650,6 +652,32 @@ def test_pipeline(spark):
     assert Counter(x["doc_id"] for x in end.collect()) == ids and end.where("not round_trip").count() == 0
 
 
+@pytest.mark.parametrize(
+    "operator",
+    [
+        near_dedup.near_duplicates, near_dedup.without_near_duplicates, line_dedup.without_duplicate_lines, pieces.encode_documents,
+        lambda docs: gam.score_quality(docs, gam.fit(np.empty((0, len(gam.FEATURES))), np.empty(0))),
+    ],
+)
+def test_workers_get_small_batches_of_long_texts(rows, spark, operator):
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [int(b["text"].str.len().sum())]})
+
+    long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    measured = lambda: [x["n"] for x in long.mapInPandas(sizes, "n bigint").collect()]
+    spark.conf.unset(session.BATCH_BYTES)
+    operator(rows([(1, "a b c"), (2, None)]))
+    try:
+        got = measured()
+        assert sum(got) == 20_000_000 and max(got) <= 3_000_000
+        spark.conf.set(session.BATCH_BYTES, "8m")
+        operator(rows([]))
+        assert spark.conf.get(session.BATCH_BYTES) == "8m"
+    finally:
+        spark.conf.unset(session.BATCH_BYTES)
+
+
 def lines_by_brute_force_fast(texts):
     """As above, with ``within`` (checked above) in place of the full table, and exact repeats of shorter lines."""
     seen, short, out = [], [], {}
